@@ -7,6 +7,7 @@ same in any SQL engine. See FIXTURES.md, section 4.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,21 +26,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For work that is heavy per row: give every core a part of a scan with few splits.
+
+    A scan that has a split per core already, as any large table has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _money(value: Column, factor: Column | int | None = None) -> Column:
     cents = value.cast("decimal(18,2)")
     return cents if factor is None else (cents * factor).cast("decimal(20,2)")
 
 
-def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credit(
+    spark: SparkSession, sf_dir: str, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One row per order and reporting date from the order date on.
 
-    The few reporting dates are literals unfolded in place: no join.
+    The few reporting dates are literals unfolded in place: no join. ``prepare`` is
+    applied to the orders first.
     """
+    orders = table(spark, sf_dir, "orders")
+    if prepare:
+        orders = prepare(orders)
     order, day = F.col("o_orderkey"), F.to_date("o_orderdate")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     dates = F.array(*[F.lit(s).cast("date") for s in SNAPSHOTS])
     balance = _money(F.col("o_totalprice"))
-    base = table(spark, sf_dir, "orders").select(
+    base = orders.select(
         order.alias("loan_id"),
         F.explode(dates).alias("snapshot_date"),
         day.alias("sale_date"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.catalog import adapter as A
-from creditloom.functions.dates import age_years, parse_mixed
+from creditloom.functions.dates import age_years, parse_dates
 from creditloom.functions.numbers import (
     band,
     classify,
@@ -153,7 +153,7 @@ def worst_income_segments(spark, sf_dir):
 
 @query
 def latest_risk_mix(spark, sf_dir):
-    return rounded(kpis.latest_rows(kpis.kpis_by_risk(_credit_features(spark, sf_dir))))
+    return rounded(kpis.kpis_by_risk(kpis.latest_rows(_credit_features(spark, sf_dir))))
 
 
 # --- feature columns -------------------------------------------------------------
@@ -258,8 +258,9 @@ def mixed_dates(spark, sf_dir):
         .when(style == 6, F.date_format(day, "MMMM d, yyyy"))
         .otherwise(F.concat(F.lit("on "), F.date_format(day, "yyyy")))
     )
-    parsed = parse_mixed(text)
-    return A.table(spark, sf_dir, "orders").select(
+    orders = A.spread(A.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    parsed = F.col("parsed")
+    return parse_dates(orders.select("o_orderkey", text.alias("parsed")), ["parsed"]).select(
         "o_orderkey",
         F.to_date(parsed).alias("parsed_date"),
         (F.hour(parsed) * 3600 + F.minute(parsed) * 60 + F.second(parsed)).alias("second_of_day"),
@@ -303,7 +304,7 @@ def title_case_text(spark, sf_dir):
 
 def _raw_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The credit table as exported text: raw headers, padding, older copies, blank rows."""
-    credit = A.credit(spark, sf_dir)
+    credit = A.credit(spark, sf_dir, A.spread)
     loan = F.col("loan_id")
     # up to three rows per loan: the row itself, an older copy, a blank row
     kind = F.col("kind")
@@ -394,7 +395,7 @@ def dedupe_quarantine(spark, sf_dir):
 
 def _sheet(spark: SparkSession, sf_dir: str, *columns) -> DataFrame:
     """A raw customer sheet with several rows per loan, from the order lines."""
-    return _lines(spark, sf_dir).select(
+    return A.spread(_lines(spark, sf_dir)).select(
         F.col("l_orderkey").cast("string").alias("Loan Id "), *columns
     )
 
@@ -489,8 +490,10 @@ def dedupe_keep_last(spark, sf_dir):
 def clean_nps(spark, sf_dir):
     """Survey export: long question header, text scores, several rows per submission."""
     question = "Using a scale from 0 (not likely) to 10 (very likely), how likely are you to recommend us?"
-    lines = A.table(spark, sf_dir, "lineitem")
-    raw = lines.select(
+    lines = A.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_suppkey"
+    )
+    raw = A.spread(lines).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("Submission ID"),
         F.col("l_orderkey").cast("string").alias("Loan Id"),
         F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd").alias("Submitted at"),

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# years a nanosecond timestamp can hold in full: 1678..2261
-_YEAR = r"(?:167[89]|16[89]\d|1[789]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
+_PLAIN = r"^(?:\d{1,2}[/.\-]\d{1,2}[/.\-]\d{4}|\d{4}-\d{1,2}-\d{1,2})(?:[T ][\d:.]+)?$"
 _PAIR = r"^(\d{1,2})[/.\-](\d{1,2})[/.\-]"
 _END = r"(?=\D|$)"
+_FULL_PAIR = rf"{_PAIR}(\d{{4}}){_END}"
 _WEEKDAY = r"^(?:[A-Za-z]+,\s*)?"
 _DAY = r"(\d{1,2})(?:st|nd|rd|th)?,?"
 _MONTH = r"([A-Za-z]{3})[A-Za-z]*\.?,?"
@@ -42,32 +42,48 @@ def _tidy(value: Column, pivot_year: int) -> Column:
         (rf"{_WEEKDAY}{_DAY}[\s\-]+{_MONTH}[\s\-]+(\d{{4}})", "$2-$1-$3"),
         (r"\s*([AaPp][Mm])$", " $1"),
     )
-    text = F.trim(value)
+    given = F.trim(value)
+    text = given
     for pattern, becomes in steps:
         text = F.regexp_replace(text, pattern, becomes)
-    return text
+    # the usual spellings need none of this
+    return F.when(given.rlike(_PLAIN), given).otherwise(text)
 
 
 def _read(text: Column) -> Column:
     """Tidy text to ``timestamp_ntz``; an offset is dropped, the clock time kept."""
-    pair = f"{_PAIR}({_YEAR}){_END}"
-    month_first = F.regexp_replace(text, pair, "$3-$1-$2")
-    day_first = F.regexp_replace(text, pair, "$3-$2-$1")
+    month_first = F.regexp_replace(text, _FULL_PAIR, "$3-$1-$2")
+    day_first = F.regexp_replace(text, _FULL_PAIR, "$3-$2-$1")
+    worded = F.when(text.rlike(r"(?i)^[a-z]{3}-|[ap]m$"), _read_words(text))
+    return F.coalesce(
+        month_first.try_cast("timestamp_ntz"), day_first.try_cast("timestamp_ntz"), worded
+    )
+
 
-    def iso(date: Column) -> Column:
-        # the guard keeps plain numbers and far years out
-        return F.regexp_extract(date, f"^({_YEAR}(?:-.*)?)$", 1).try_cast("timestamp_ntz")
+def _read_words(text: Column) -> Column:
+    """Month names and the 12-hour clock.
+
+    Evaluated as a lambda, which Spark keeps out of whole-stage code. The branch is
+    rare, and inlined for several columns it makes a method too long for the JIT.
+    """
 
     def by_pattern(date: Column, fmt: str) -> Column:
         return F.try_to_timestamp(date, F.lit(fmt)).cast("timestamp_ntz")
 
-    has_words = text.rlike(r"(?i)^[a-z]{3}-|[ap]m$")
-    wordy = F.coalesce(
-        by_pattern(F.initcap(text), "MMM-d-y[ H:m[:s]]"),
-        by_pattern(F.upper(month_first), "y-M-d h[:m[:s]] a"),
-        by_pattern(F.upper(day_first), "y-M-d h[:m[:s]] a"),
-    )
-    return F.coalesce(iso(month_first), iso(day_first), F.when(has_words, wordy))
+    def read(t: Column) -> Column:
+        upper = F.upper(t)
+        return F.coalesce(
+            by_pattern(F.initcap(t), "MMM-d-y[ H:m[:s]]"),
+            by_pattern(F.regexp_replace(upper, _FULL_PAIR, "$3-$1-$2"), "y-M-d h[:m[:s]] a"),
+            by_pattern(F.regexp_replace(upper, _FULL_PAIR, "$3-$2-$1"), "y-M-d h[:m[:s]] a"),
+        )
+
+    return F.element_at(F.transform(F.array(text), read), 1)
+
+
+def _plausible(parsed: Column) -> Column:
+    """Null outside the years a nanosecond timestamp holds in full."""
+    return F.when(F.year(parsed).between(1678, 2261), parsed)
 
 
 def parse_mixed(value: Column, *, pivot_year: int = 2025) -> Column:
@@ -78,14 +94,14 @@ def parse_mixed(value: Column, *, pivot_year: int = 2025) -> Column:
     month-first and, when that is no valid date, day-first. A two-digit year falls
     in the hundred years around ``pivot_year``. Years outside 1678..2261 give null.
     """
-    return _read(_tidy(value, pivot_year))
+    return _plausible(_read(_tidy(value, pivot_year)))
 
 
 def parse_dates(df: DataFrame, columns: Iterable[str], *, pivot_year: int = 2025) -> DataFrame:
     """Parse the named columns that exist; typed columns only lose their zone.
 
-    Two projections: the tidy text is used several times, and as a column of its
-    own it is computed once.
+    Three projections: each step's result is used several times by the next one,
+    and as a column of its own it is computed once.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     named = [c for c in columns if c in kinds]
@@ -94,7 +110,9 @@ def parse_dates(df: DataFrame, columns: Iterable[str], *, pivot_year: int = 2025
     parsed |= {c: _read(F.col(c)) for c in texts}
     if texts:
         df = df.withColumns({c: _tidy(F.col(c), pivot_year) for c in texts})
-    return df.withColumns(parsed) if parsed else df
+    if parsed:
+        df = df.withColumns(parsed)
+    return df.withColumns({c: _plausible(F.col(c)) for c in texts}) if texts else df
 
 
 def age_years(born: Column, on: Column, *, oldest: int = 130) -> Column:

@@ -22,9 +22,11 @@ from creditloom.settings import (
 
 def to_number(value: Column) -> Column:
     """Text or number to double; anything that is no number, NaN included, is null."""
-    text = value.cast("string")
+    text = F.rtrim(value.cast("string"))
     # the JVM parser takes Java's type suffixes (``12d``), which are no numbers here
-    return F.nullif(F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double")), F.lit(float("nan")))
+    last = F.substring(text, -1, 1)
+    number = ~last.isin("d", "D", "f", "F") | ~text.rlike(r"[0-9.].$")
+    return F.nullif(F.when(number, text.try_cast("double")), F.lit(float("nan")))
 
 
 def as_double(value: Column) -> Column:

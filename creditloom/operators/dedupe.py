@@ -54,6 +54,7 @@ def quarantine(
     keys: Sequence[str],
     order_by: Sequence[str],
     tie_break: Sequence[str] | None = None,
+    slices: int = 1024,
 ) -> DataFrame:
     """The rows ``keep_latest`` leaves out: together the two are the whole input.
 
@@ -63,7 +64,11 @@ def quarantine(
     other rows stay spread over the slices.
     """
     ranking = _latest_first(df, keys, order_by, tie_break)
-    contested = rows_sharing_key(df, keys).withColumn("_slice", F.spark_partition_id())
+    # Taken from the row and its input split: exact copies in different splits part
+    # too. Any assignment gives the same result, and a repeated task makes the same one.
+    content = [c for c in df.columns if c not in keys]
+    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
+    contested = rows_sharing_key(df.withColumn("_slice", piece), keys)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*ranking)
     in_pool = Window.partitionBy(*keys, "_pool").orderBy(*ranking)
     return (

@@ -219,9 +219,13 @@ def nps_spread(by_bucket: DataFrame) -> DataFrame:
     ).withColumn("spread", F.col("current_nps") - F.col("par30_nps"))
 
 
-def latest_rows(kpis: DataFrame, by: str = "snapshot_date") -> DataFrame:
-    """Rows of the newest snapshot."""
-    return kpis.filter(F.col(by) == kpis.agg(F.max(by)).scalar())
+def latest_rows(df: DataFrame, by: str = "snapshot_date") -> DataFrame:
+    """Rows of the newest snapshot.
+
+    Apply it to the facts rather than to KPIs of all snapshots: the date is found
+    from one column, and a layer partitioned by it is then read for that date only.
+    """
+    return df.filter(F.col(by) == df.agg(F.max(by)).scalar())
 
 
 def matched_buckets(by_bucket: DataFrame) -> DataFrame:

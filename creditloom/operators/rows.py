@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.functions.text import snake_header
@@ -60,12 +60,25 @@ def union_aligned(frames: Sequence[DataFrame]) -> DataFrame:
 def fixed_sample(df: DataFrame, keys: Sequence[str], size: int, seed: int = 42) -> DataFrame:
     """``size`` rows picked by a seeded digest of the key, sorted by the key.
 
-    Each partition keeps its own best ``size`` candidates, so only those travel.
-    The same key and seed are picked again whatever the partitioning.
+    The same keys and seed are picked again whatever the partitioning. Digests are
+    first counted by their leading characters (at most 65,536 groups); that gives
+    the exact prefix up to which ``size`` rows are found, and only rows up to it
+    are sorted. Otherwise every input split would send ``size`` candidates.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    marked = df.withColumn("_digest", digest)
+    prefix = F.substring("_digest", 1, 4)
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the first prefix that completes the sample; none if the table is smaller than it
+    last = (
+        marked.groupBy(prefix.alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("found", F.sum("n").over(upto))
+        .filter(F.col("found") >= size)
+        .agg(F.coalesce(F.min("p"), F.lit("g")).alias("p"))
+    )
     return (
-        df.withColumn("_digest", digest)
+        marked.filter(prefix <= last.scalar())
         .orderBy("_digest", *keys)
         .limit(size)
         .drop("_digest")

@@ -242,7 +242,7 @@ def test_pivots_and_mix(spark):
 def test_headlines(spark):
     ends = {r.kpi: (r.first_value, r.last_value) for r in kpis.first_and_last(kpis.portfolio_health(facts(spark))).collect()}
     assert ends["collection_rate"] == (None, 0.25) and ends["delinquency_rate"][1] == 1.0
-    assert values(kpis.latest_rows(kpis.kpis_by_risk(facts(spark))), "risk_category") == [("Medium",)]
+    assert values(kpis.kpis_by_risk(kpis.latest_rows(facts(spark))), "risk_category") == [("Medium",)]
 
 
 def test_plain_mean_of_means(spark):
