@@ -69,6 +69,12 @@ def _credit_x_nps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.credit_x_nps(_survey(spark, sf_dir), _features(spark, sf_dir), A.AS_OF)
 
 
+def _scored_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of join for reports on days past due and risk: no customers needed."""
+    facts = _credit_features(spark, sf_dir)
+    return features.credit_x_nps(_survey(spark, sf_dir), facts, A.AS_OF)
+
+
 def _credit_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The credit table with every 97th loan's rows twice."""
     credit = A.credit(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -569,22 +575,22 @@ def asof_events(spark, sf_dir):
 
 @query
 def nps_by_dpd_bucket(spark, sf_dir):
-    return rounded(kpis.nps_by_dpd_bucket(_credit_x_nps(spark, sf_dir)))
+    return rounded(kpis.nps_by_dpd_bucket(_scored_credit(spark, sf_dir)))
 
 
 @query
 def nps_by_risk(spark, sf_dir):
-    return rounded(kpis.nps_by_risk(_credit_x_nps(spark, sf_dir)))
+    return rounded(kpis.nps_by_risk(_scored_credit(spark, sf_dir)))
 
 
 @query
 def nps_by_dpd_matched(spark, sf_dir):
-    return rounded(kpis.matched_buckets(kpis.nps_by_dpd_bucket(_credit_x_nps(spark, sf_dir))))
+    return rounded(kpis.matched_buckets(kpis.nps_by_dpd_bucket(_scored_credit(spark, sf_dir))))
 
 
 @query
 def nps_spread(spark, sf_dir):
-    return rounded(kpis.nps_spread(kpis.nps_by_dpd_bucket(_credit_x_nps(spark, sf_dir))))
+    return rounded(kpis.nps_spread(kpis.nps_by_dpd_bucket(_scored_credit(spark, sf_dir))))
 
 
 @query

@@ -49,26 +49,33 @@ def rows_sharing_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, match, "left_semi")
 
 
-def quarantine(
-    df: DataFrame,
+def contested_rows(df: DataFrame, keys: Sequence[str], slices: int = 1024) -> DataFrame:
+    """Rows whose key is on several rows, marked with the slice of the key they belong to.
+
+    Keys on one row cannot lose a ranking and are put aside here. The slice comes from
+    the row's content and its input split, so that exact copies part too; it is set
+    ahead of the join, which gathers a key. Any assignment gives the same result, and
+    a repeated task makes the same one.
+    """
+    content = [c for c in df.columns if c not in keys]
+    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
+    return rows_sharing_key(df.withColumn("_slice", piece), keys)
+
+
+def losing_rows(
+    contested: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
     tie_break: Sequence[str] | None = None,
-    slices: int = 1024,
 ) -> DataFrame:
-    """The rows ``keep_latest`` leaves out: together the two are the whole input.
+    """Of ``contested_rows``, all but the best row per key.
 
-    Keys on one row cannot lose and are put aside first. The others are ranked
-    in two steps, because a group here may be large: rows are ranked within
-    (key, slice), then the best row of each slice competes for the key while all
-    other rows stay spread over the slices.
+    Ranked in two steps, because a key may have very many rows: first within (key,
+    slice), then the best row of each slice competes for the key while all other
+    rows stay spread over the slices.
     """
-    ranking = _latest_first(df, keys, order_by, tie_break)
-    # Taken from the row and its input split: exact copies in different splits part
-    # too. Any assignment gives the same result, and a repeated task makes the same one.
-    content = [c for c in df.columns if c not in keys]
-    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
-    contested = rows_sharing_key(df.withColumn("_slice", piece), keys)
+    plain = contested.drop("_slice")
+    ranking = _latest_first(plain, keys, order_by, tie_break)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*ranking)
     in_pool = Window.partitionBy(*keys, "_pool").orderBy(*ranking)
     return (
@@ -76,5 +83,15 @@ def quarantine(
         .withColumn("_pool", F.when(F.col("_first"), F.lit(-1)).otherwise(F.col("_slice")))
         .withColumn("_rank", F.row_number().over(in_pool))
         .filter(~(F.col("_first") & (F.col("_rank") == 1)))
-        .drop("_slice", "_first", "_pool", "_rank")
+        .select(*plain.columns)
     )
+
+
+def quarantine(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    tie_break: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows ``keep_latest`` leaves out: together the two are the whole input."""
+    return losing_rows(contested_rows(df, keys), keys, order_by, tie_break)

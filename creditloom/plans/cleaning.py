@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from creditloom.functions.dates import parse_dates
 from creditloom.functions.numbers import nps_class, to_flag, to_number
 from creditloom.functions.text import title_case
-from creditloom.operators.dedupe import keep_latest, quarantine
+from creditloom.operators.dedupe import contested_rows, keep_latest, losing_rows
 from creditloom.operators.joins import checked_left_join
 from creditloom.operators.rows import (
     drop_blank_rows,
@@ -86,12 +86,15 @@ def _dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Data
     return keep_latest(df, keys, order, tie)
 
 
-def type_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
-    """Everything the credit cleaner does before it removes duplicates."""
-    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
-    out = parse_dates(out, CREDIT_DATES)
+def _keyed_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
+    """Normalised headers, no blank rows, the snapshot date; values are text still."""
     stamp = F.col(SNAPSHOT) if snapshot_date is None else F.lit(snapshot_date)
-    out = out.withColumn("snapshot_date", F.to_date(stamp)).drop(SNAPSHOT)
+    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
+    return out.withColumn("snapshot_date", F.to_date(stamp)).drop(SNAPSHOT)
+
+
+def _typed_credit(keyed: DataFrame) -> DataFrame:
+    out = parse_dates(keyed, CREDIT_DATES)
     out = out.withColumnsRenamed({"customer_age": "loan_age_days"})
     out = map_columns(out, CREDIT_TEXTS, F.trim)
     return map_columns(out, CREDIT_NUMBERS, to_number)
@@ -103,18 +106,21 @@ def clean_credit_snapshot(df: DataFrame, snapshot_date=None) -> DataFrame:
     The snapshot date is the one given or the one the scan took from the file
     name. Of several rows the one with the newest payment date stays.
     """
-    typed = type_credit(df, snapshot_date)
+    typed = _typed_credit(_keyed_credit(df, snapshot_date))
     if "loan_id" not in typed.columns:
         return typed.drop(ORDINAL)
     return _dedupe(typed, CREDIT_KEY, ["max_payment_date"]).drop(ORDINAL)
 
 
 def quarantine_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
-    """The typed rows ``clean_credit_snapshot`` leaves out."""
-    typed = type_credit(df, snapshot_date)
-    order = [c for c in ("max_payment_date",) if c in typed.columns]
-    tie = [ORDINAL] if ORDINAL in typed.columns else None
-    return quarantine(typed, CREDIT_KEY, order, tie).drop(ORDINAL)
+    """The rows ``clean_credit_snapshot`` leaves out, typed.
+
+    The key needs no typing, so only rows that share theirs are parsed.
+    """
+    contested = _typed_credit(contested_rows(_keyed_credit(df, snapshot_date), CREDIT_KEY))
+    order = [c for c in ("max_payment_date",) if c in contested.columns]
+    tie = [ORDINAL] if ORDINAL in contested.columns else None
+    return losing_rows(contested, CREDIT_KEY, order, tie).drop(ORDINAL)
 
 
 def clean_all_credit(frames: Sequence[DataFrame]) -> DataFrame:

@@ -139,7 +139,8 @@ def build_feature_table(
 def credit_x_nps(nps: DataFrame, features: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Each submission with the loan's newest snapshot at or before it.
 
-    A submission without a time is placed at ``as_of``.
+    A submission without a time is placed at ``as_of``. Credit features alone will
+    do for reports that show no customer bands; the bands are then left out.
     """
     return asof_join(
         nps.select(*SURVEY_COLUMNS),
@@ -148,5 +149,5 @@ def credit_x_nps(nps: DataFrame, features: DataFrame, as_of: dt.date | str) -> D
         left_id="submission_id",
         left_time=F.coalesce(F.col("submitted_at"), F.lit(as_of).cast("timestamp_ntz")),
         right_time="snapshot_date",
-        payload=SURVEY_FEATURES,
+        payload=[c for c in SURVEY_FEATURES if c in features.columns],
     )

@@ -227,3 +227,10 @@ def test_settings_from_json_file(tmp_path):
     path = tmp_path / "conf.json"
     path.write_text('{"quality": {"freshness": {"max_days_between_snapshots": 5}}}')
     assert Settings.from_file(str(path)).freshness_days == 5
+
+
+def test_settings_from_yaml_file(tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "conf.yaml"
+    path.write_text("quality:\n  nulls:\n    customer_id_columns: {LOAN_ID: 0.25}\n")
+    assert Settings.from_file(str(path)).null_limits == {"LOAN_ID": 0.25}
