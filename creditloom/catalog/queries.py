@@ -854,7 +854,7 @@ def snapshot_reload(spark, sf_dir):
     sinks.write_layer(credit, path, partition_by="snapshot_date")
     last = credit.filter(F.col("snapshot_date") == F.lit(A.SNAPSHOTS[-1]).cast("date"))
     fixed = last.withColumn("balance", (F.col("balance") + 1).cast("decimal(18,2)"))
-    sinks.write_layer(fixed, path, partition_by="snapshot_date")
+    sinks.write_layer(fixed, path, partition_by="snapshot_date", keep_other_partitions=True)
     return (
         spark.read.parquet(path)
         .groupBy("snapshot_date")

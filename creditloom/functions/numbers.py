@@ -116,8 +116,9 @@ def classify(rules: Sequence[Rule], columns: Iterable[str], *, leftover: str = "
 
 
 def clean_dpd(value: Column) -> Column:
-    """Days past due: unreadable or missing is 0, negative is 0, whole days."""
-    return F.greatest(F.coalesce(as_double(value), F.lit(0.0)), F.lit(0.0)).cast("bigint")
+    """Days past due: unreadable, missing, out of range or negative is 0; whole days."""
+    whole = as_double(value).try_cast("bigint")
+    return F.greatest(F.coalesce(whole, F.lit(0)), F.lit(0)).cast("bigint")
 
 
 def monthly_income(received: Column, months: Column) -> Column:

@@ -9,6 +9,7 @@ checks, one (with a join) for referential integrity.
 from __future__ import annotations
 
 import datetime as dt
+import string
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -20,6 +21,55 @@ from creditloom.operators.joins import coverage, missing_columns, unmatched_keys
 from creditloom.settings import Settings
 
 CREDIT_KEY = ("loan_id", "snapshot_date")
+
+# --- fixed values: the texts of the results, as expected / observed / message ---
+NO_SNAPSHOT = ("at least 1 snapshot", "0", "No snapshots present")
+FRESHNESS = (
+    "latest snapshot <= {limit} days old",
+    "latest={latest}, age_days={age}",
+    "Latest snapshot is {latest} ({age} days old).",
+)
+UNIQUENESS = (
+    "0 duplicate ({key}) rows",
+    "{rows} duplicate rows",
+    "Found {rows} duplicate rows on primary key.",
+)
+NO_CREDIT = ("credit not empty", "empty", "No credit rows")
+INTEGRITY = (
+    "coverage >= {limit}",
+    "coverage={share3}",
+    "{share2} of credit loan_ids match a customer record.",
+)
+NO_VALUES = ("{noun} in [{lo},{hi}]", "no data", "No {column} observations available")
+SPARSE_RANGE = (
+    "{noun} in [{lo}, {hi}]",
+    "{bad} out-of-range / {n} non-null",
+    "{bad} {nouns} outside [{lo},{hi}]. min={low}, max={high}",
+)
+DPD_RANGE = (
+    "days_past_due in [{lo}, {hi}]",
+    "{bad} out-of-range / {n}",
+    "{bad} DPD values outside [{lo},{hi}].",
+)
+NO_COLUMN = (
+    "<= {limit} null",
+    "column absent",
+    "Required column `{column}` missing from credit",
+)
+NULL_SHARE = ("<= {limit} null", "{share3} null", "`{column}` is {share2} null.")
+DRIFT_NONE = (
+    "columns present: {expected}",
+    "all present",
+    "Canonical schema honoured by all snapshots.",
+)
+DRIFT = (
+    "columns present: {expected}",
+    "missing: {missing}",
+    "Schema drift detected: {names}",
+)
+ALERT_TITLE = "DQ {status}: {name}"
+# --- end of fixed values ---------------------------------------------------------
+
 RESULT_COLUMNS = (
     "name",
     "severity",
@@ -37,28 +87,39 @@ def _text(value: Column | str | None) -> Column:
     return column.cast("string")
 
 
+def _fill(template: str, parts: Mapping[str, Column | str | float]) -> Column:
+    """A text template with column values in its places."""
+    pieces: list[Column] = []
+    for literal, place, _, _ in string.Formatter().parse(template):
+        if literal:
+            pieces.append(F.lit(literal))
+        if place:
+            value = parts[place]
+            pieces.append(_text(value if isinstance(value, Column) else str(value)))
+    return F.concat(*pieces)
+
+
 def _result(
     name: str,
-    severity: Column | str,
+    severity: str,
     passed: Column | str,
-    expected: Column | str,
-    observed: Column | str,
-    message: Column | str,
+    texts: tuple[str, str, str],
+    *,
     evidence: Column | None = None,
     unmatched: Column | None = None,
+    **parts: Column | str | float,
 ) -> Column:
     """One result row; ``passed`` is a predicate (null fails) or a fixed status."""
-    status = passed
-    if isinstance(passed, Column):
-        status = F.when(passed, "PASS").otherwise("FAIL")
+    status = F.when(passed, "PASS").otherwise("FAIL") if isinstance(passed, Column) else passed
+    expected, observed, message = (_fill(t, parts) for t in texts)
     sample = unmatched if unmatched is not None else F.lit(None).cast("array<string>")
     return F.struct(
         _text(name).alias("name"),
         _text(severity).alias("severity"),
         _text(status).alias("status"),
-        _text(expected).alias("expected"),
-        _text(observed).alias("observed"),
-        _text(message).alias("message"),
+        expected.alias("expected"),
+        observed.alias("observed"),
+        message.alias("message"),
         _text(evidence).alias("evidence_path"),
         F.struct(sample.alias("sample_unmatched")).alias("extra"),
     )
@@ -72,10 +133,6 @@ def _rows(metrics: DataFrame, results: Sequence[Column]) -> DataFrame:
     return metrics.select(F.inline(F.array(*results)))
 
 
-def _say(*parts: Column | str) -> Column:
-    return F.concat(*[_text(p) for p in parts])
-
-
 def _pct(value: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f%%", value * 100)
 
@@ -112,52 +169,48 @@ def _freshness(settings: Settings, as_of: dt.date) -> Column:
     age = F.datediff(F.greatest(latest, F.lit(as_of).cast("date")), latest)
     return _when_empty(
         latest.isNull(),
-        _result("FRESHNESS", "CRITICAL", "FAIL", "at least 1 snapshot", "0", "No snapshots present"),
+        _result("FRESHNESS", "CRITICAL", "FAIL", NO_SNAPSHOT),
         _result(
-            "FRESHNESS",
-            "HIGH",
-            age <= limit,
-            f"latest snapshot <= {limit} days old",
-            _say("latest=", latest, ", age_days=", age),
-            _say("Latest snapshot is ", latest, " (", age, " days old)."),
+            "FRESHNESS", "HIGH", age <= limit, FRESHNESS, limit=limit, latest=latest, age=age
         ),
     )
 
 
 def _uniqueness(key: Sequence[str], evidence_path: str | None) -> Column:
     rows = F.col("duplicate_rows")
+    evidence = F.when(rows > 0, F.lit(evidence_path))
     return _result(
         "UNIQUENESS",
         "CRITICAL",
         rows == 0,
-        f"0 duplicate ({', '.join(key)}) rows",
-        _say(rows, " duplicate rows"),
-        _say("Found ", rows, " duplicate rows on primary key."),
-        evidence=F.when(rows > 0, F.lit(evidence_path)),
+        UNIQUENESS,
+        evidence=evidence,
+        key=", ".join(key),
+        rows=rows,
     )
 
 
 def _null_limits(columns: Sequence[str], settings: Settings) -> list[Column]:
     results = []
     for shown, limit in settings.null_limits.items():
-        column, expected = shown.lower(), f"<= {limit:.1%} null"
+        name, column = f"NULL_{shown}", shown.lower()
         if column not in columns:
             results.append(
-                _result(
-                    f"NULL_{shown}", "HIGH", "FAIL", expected, "column absent",
-                    f"Required column `{shown}` missing from credit",
-                )
+                _result(name, "HIGH", "FAIL", NO_COLUMN, limit=f"{limit:.1%}", column=shown)
             )
             continue
-        share = F.try_divide(F.col(f"null_{column}").cast("double"), F.col("row_count").cast("double"))
+        nulls, rows = F.col(f"null_{column}"), F.col("row_count")
+        share = F.try_divide(nulls.cast("double"), rows.cast("double"))
         results.append(
             _result(
-                f"NULL_{shown}",
+                name,
                 "MEDIUM" if limit > 0 else "HIGH",
                 share <= limit,
-                expected,
-                _say(_pct(share, 3), " null"),
-                _say(f"`{shown}` is ", _pct(share, 2), " null."),
+                NULL_SHARE,
+                limit=f"{limit:.1%}",
+                column=shown,
+                share3=_pct(share, 3),
+                share2=_pct(share, 2),
             )
         )
     return results
@@ -169,11 +222,10 @@ def _schema_drift(df: DataFrame, expected: Sequence[str]) -> Column:
         "SCHEMA_DRIFT",
         "CRITICAL",
         "FAIL" if missing else "PASS",
-        f"columns present: {list(expected)}",
-        f"missing: {missing}" if missing else "all present",
-        f"Schema drift detected: {', '.join(missing)}"
-        if missing
-        else "Canonical schema honoured by all snapshots.",
+        DRIFT if missing else DRIFT_NONE,
+        expected=str(list(expected)),
+        missing=str(missing),
+        names=", ".join(missing),
     )
 
 
@@ -218,27 +270,18 @@ def check_referential_integrity(
         F.sort_array(F.collect_list(F.col(key))).cast("array<string>").alias("ids")
     )
     metrics = coverage(credit, customers, key).withColumn("_sample", sample.scalar())
-    return _rows(
-        metrics,
-        [
-            _when_empty(
-                total == 0,
-                _result(
-                    "REFERENTIAL_INTEGRITY", "HIGH", "FAIL", "credit not empty", "empty",
-                    "No credit rows",
-                ),
-                _result(
-                    "REFERENTIAL_INTEGRITY",
-                    "HIGH",
-                    share >= settings.min_coverage,
-                    f"coverage >= {settings.min_coverage:.0%}",
-                    _say("coverage=", _pct(share, 3)),
-                    _say(_pct(share, 2), " of credit loan_ids match a customer record."),
-                    unmatched=F.col("_sample"),
-                ),
-            )
-        ],
+    checked = _result(
+        "REFERENTIAL_INTEGRITY",
+        "HIGH",
+        share >= settings.min_coverage,
+        INTEGRITY,
+        unmatched=F.col("_sample"),
+        limit=f"{settings.min_coverage:.0%}",
+        share3=_pct(share, 3),
+        share2=_pct(share, 2),
     )
+    empty = _result("REFERENTIAL_INTEGRITY", "HIGH", "FAIL", NO_CREDIT)
+    return _rows(metrics, [_when_empty(total == 0, empty, checked)])
 
 
 # --- one scan of the feature table ------------------------------------------
@@ -258,34 +301,24 @@ def range_metrics(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> D
     return df.agg(*measures)
 
 
-def _span(limits: tuple[float, float], gap: str) -> str:
-    return f"[{limits[0]},{gap}{limits[1]}]"
-
-
 def _optional_range(
-    name: str, column: str, limits: tuple[float, float], shown: str, plural: str
+    name: str, column: str, limits: tuple[float, float], noun: str, nouns: str
 ) -> Column:
     """Range of a sparse column: only present values count, and none at all is a warning."""
     bad, n = F.col(f"{column}_bad"), F.col(f"{column}_n")
-    low, high = F.col(f"{column}_min").cast("double"), F.col(f"{column}_max").cast("double")
-    return _when_empty(
-        n == 0,
-        _result(
-            name, "MEDIUM", "WARN", f"{shown} in {_span(limits, '')}", "no data",
-            f"No {column} observations available",
-        ),
-        _result(
-            name,
-            "MEDIUM",
-            bad == 0,
-            f"{shown} in {_span(limits, ' ')}",
-            _say(bad, " out-of-range / ", n, " non-null"),
-            _say(
-                bad, f" {plural} outside {_span(limits, '')}. min=", F.format_string("%.1f", low),
-                ", max=", F.format_string("%.1f", high),
-            ),
-        ),
+    shown = {"noun": noun, "nouns": nouns, "column": column, "lo": limits[0], "hi": limits[1]}
+    checked = _result(
+        name,
+        "MEDIUM",
+        bad == 0,
+        SPARSE_RANGE,
+        bad=bad,
+        n=n,
+        low=F.format_string("%.1f", F.col(f"{column}_min").cast("double")),
+        high=F.format_string("%.1f", F.col(f"{column}_max").cast("double")),
+        **shown,
     )
+    return _when_empty(n == 0, _result(name, "MEDIUM", "WARN", NO_VALUES, **shown), checked)
 
 
 def _age_range(settings: Settings) -> Column:
@@ -301,14 +334,16 @@ def _income_range(settings: Settings) -> Column:
 
 
 def _dpd_range(settings: Settings) -> Column:
-    bad, rows = F.col("days_past_due_bad"), F.col("row_count")
+    bad, (lo, hi) = F.col("days_past_due_bad"), settings.dpd_range
     return _result(
         "RANGE_DAYS_PAST_DUE",
         "HIGH",
         bad == 0,
-        f"days_past_due in {_span(settings.dpd_range, ' ')}",
-        _say(bad, " out-of-range / ", rows),
-        _say(bad, f" DPD values outside {_span(settings.dpd_range, '')}."),
+        DPD_RANGE,
+        bad=bad,
+        n=F.col("row_count"),
+        lo=lo,
+        hi=hi,
     )
 
 
@@ -386,7 +421,7 @@ def alerts(results: DataFrame, routing: Mapping[str, Sequence[str]]) -> DataFram
         channels = F.when(F.upper("severity") == severity.upper(), listed).otherwise(channels)
     return results.filter(F.col("status").isin("FAIL", "WARN")).select(
         F.upper("severity").alias("severity"),
-        F.concat(F.lit("DQ "), "status", F.lit(": "), "name").alias("title"),
+        _fill(ALERT_TITLE, {"status": F.col("status"), "name": F.col("name")}).alias("title"),
         F.col("message").alias("body"),
         "expected",
         "observed",

@@ -202,4 +202,6 @@ def build_customer_master(
         income.select("loan_id", *INCOME_NUMBERS),
     ):
         out = checked_left_join(out, attributes, ["loan_id"], validate)
+        # a one-to-one join leaves the left keys as they were: no need to test them again
+        validate = validate and "many_to_one"
     return out

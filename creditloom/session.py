@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # recording the Python line of every Column takes longer than all other plan building;
     # switch it on to see those lines in error messages
     "spark.python.sql.dataFrameDebugging.enabled": "false",

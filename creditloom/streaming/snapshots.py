@@ -42,7 +42,9 @@ def ingest_new_snapshots(
             batch.sparkSession, paths, settings.snapshot_pattern, settings.snapshot_format
         )
         cleaned = union_aligned([clean_credit_snapshot(f) for f in frames])
-        sinks.write_layer(cleaned, layer, partition_by="snapshot_date")
+        sinks.write_layer(
+            cleaned, layer, partition_by="snapshot_date", keep_other_partitions=True
+        )
 
     arrivals = (
         spark.readStream.format("binaryFile")

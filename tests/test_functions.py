@@ -174,7 +174,7 @@ def test_rule_on_absent_column_is_skipped(spark):
 
 
 def test_dpd_and_income(spark):
-    assert mapped(spark, [-5.0, 3.9, None, float("nan")], numbers.clean_dpd, "double") == [0, 3, 0, 0]
+    assert mapped(spark, [-5.0, 3.9, None, float("nan"), 1e300], numbers.clean_dpd, "double") == [0, 3, 0, 0, 0]
     df = spark.createDataFrame([(100.0, 4), (100.0, 0), (100.0, None), (None, 4), (1.0, -1)], "r double, d int")
     got = [r[0] for r in df.select(numbers.monthly_income(F.col("r"), F.col("d"))).collect()]
     assert got == [25.0, None, None, None, None]

@@ -115,9 +115,13 @@ def test_reload_touches_only_its_own_partitions(spark, tmp_path):
     path = str(tmp_path / "layer")
     df = spark.createDataFrame([("A", "d1", 1), ("B", "d2", 2)], "k string, d string, v int")
     sinks.write_layer(df, path, partition_by="d")
-    sinks.write_layer(df.filter("d = 'd2'").withColumn("v", F.lit(9)), path, partition_by="d")
-    sinks.write_layer(df.limit(0), path, partition_by="d")
+    fixed = df.filter("d = 'd2'").withColumn("v", F.lit(9))
+    sinks.write_layer(fixed, path, partition_by="d", keep_other_partitions=True)
+    sinks.write_layer(df.limit(0), path, partition_by="d", keep_other_partitions=True)
     assert sorted(values(spark.read.parquet(path), "k", "v")) == [("A", 1), ("B", 9)]
+    # a full load leaves nothing of the layer before it
+    sinks.write_layer(fixed, path, partition_by="d")
+    assert values(spark.read.parquet(path), "k", "v") == [("B", 9)]
 
 
 def test_stored_tables_join_without_a_shuffle(spark):
