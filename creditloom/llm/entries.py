@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm.langid import identify_language
+from creditloom.llm.packing import pack
 from creditloom.llm.quality_rules import quality_rules
 from creditloom.llm.rule_ensemble import classify_quality
 from creditloom.llm.tables import table
+from creditloom.llm.token_files import read_token_files, write_token_files
+from creditloom.session import scratch_dir
 
 
 def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +19,12 @@ def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules(docs, labels).select(
@@ -27,10 +36,18 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path)
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 LLM_QUERIES = {
     "op2_rule_ensemble": op2_rule_ensemble,
+    "op3_harmonic_packing": op3_harmonic_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
+    "op10_token_files": op10_token_files,
 }
 
 LLM_ORACLES: dict[str, str] = {}
