@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm.langid import identify_language
+from creditloom.llm.mixing import mix
 from creditloom.llm.packing import pack
 from creditloom.llm.quality_rules import quality_rules
 from creditloom.llm.rule_ensemble import classify_quality
+from creditloom.llm.secrets import BASE_KINDS, joined, scan_secrets
 from creditloom.llm.tables import table
 from creditloom.llm.token_files import read_token_files, write_token_files
 from creditloom.session import scratch_dir
@@ -25,6 +27,10 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules(docs, labels).select(
@@ -36,6 +42,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def _count_of(kind: str) -> Column:
+    return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    counts = [_count_of(kind.name) for kind in BASE_KINDS]
+    base = F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, joined(F.col("spans")).alias("spans"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path)
@@ -45,8 +62,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op2_rule_ensemble": op2_rule_ensemble,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op4_pivotal_mixing": op4_pivotal_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
 
