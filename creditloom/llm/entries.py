@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.langid import identify_language
 from creditloom.llm.mixing import mix
+from creditloom.llm.neardup import near_duplicates
 from creditloom.llm.packing import pack
 from creditloom.llm.quality_rules import quality_rules
 from creditloom.llm.rule_ensemble import classify_quality
@@ -38,6 +39,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -64,6 +69,7 @@ LLM_QUERIES = {
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_pivotal_mixing": op4_pivotal_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,

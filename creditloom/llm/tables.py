@@ -11,12 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """The frame's rows, written once to the shared scratch folder and read from there.
 
     A lost executor costs a repeat of its own tasks only, and later steps see the same
     rows whatever is repeated.
     """
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

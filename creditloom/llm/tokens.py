@@ -5,7 +5,7 @@ that a non-space follows, and after a line break that a non-space follows. So a
 may be cut there and its parts encoded apart. The parts of a batch are made distinct
 first; only those not met before in the task are encoded, many to a call, and told
 apart again by the byte lengths of their tokens. Texts in which a cut would be doubtful
-(runs of white space, NUL characters) are encoded whole.
+(runs of white space) are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ import os
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-CUT = "\0"
-GROUP = 100
+from creditloom.llm.words import utf8
+
+GROUP = 200
 
 
 def vocabulary_path(path: str | None = None) -> str:
@@ -29,9 +29,19 @@ def vocabulary_path(path: str | None = None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def doubtful(part: str) -> bool:
+def doubtful(part: bytes) -> bool:
     """Does the part begin with white space other than one space before a non-space?"""
-    return part[:1].isspace() and (len(part) == 1 or part[0] != " " or part[1].isspace())
+    text = part[:8].decode("utf-8", "ignore")
+    return text[:1].isspace() and (len(text) == 1 or text[0] != " " or text[1].isspace())
+
+
+def part_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """First bytes of the parts: those of texts, spaces, and bytes after a line break."""
+    first = np.zeros(len(data) + 1, dtype=bool)
+    np.equal(data, 0x20, out=first[:-1])
+    first[1:] |= data == 0x0A
+    first[at] = True
+    return np.flatnonzero(first[:-1])
 
 
 def shared_coder(path: str) -> TokenCoder:
@@ -61,7 +71,7 @@ class TokenCoder:
         self.width = np.asarray([len(self.tokenizer.id_to_token(k) or "") for k in range(size)], dtype=np.int64)
         self.keep, self.known, self.older = keep, {}, {}
 
-    def _codes(self, parts: list[str]) -> list[bytes]:
+    def _codes(self, parts: list[bytes]) -> list[bytes]:
         """The ids of each part, as bytes of 32-bit integers."""
         if len(self.known) + len(parts) > self.keep:
             self.older, self.known = self.known, {}
@@ -73,56 +83,50 @@ class TokenCoder:
                     fresh.append(part)
                 else:
                     known[part] = code
-        self._learn(fresh)
+        self._learn([p for p in fresh if p[:1] == b" "], GROUP)
+        self._learn([p for p in fresh if p[:1] != b" "], 1)
         return [known[p] for p in parts]
 
-    def _learn(self, parts: list[str]) -> None:
-        spaced = [p for p in parts if p[:1] == " "]
-        other = [p for p in parts if p[:1] != " "]
-        for part, code in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known[part] = np.asarray(code.ids, dtype=np.uint32).tobytes()
-        groups = [spaced[k : k + GROUP] for k in range(0, len(spaced), GROUP)]
-        codes = self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
-        for group, code in zip(groups, codes, strict=True):
-            ids = np.asarray(code.ids, dtype=np.uint32)
-            ends = np.cumsum([len(p.encode()) for p in group])
-            cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
-            data, first = ids.tobytes(), 0
-            for part, cut in zip(group, cuts.tolist(), strict=True):
-                self.known[part] = data[4 * first : 4 * cut]
-                first = cut
+    def _learn(self, parts: list[bytes], together: int) -> None:
+        """Encodes new parts, so many as one text, and tells their tokens apart by width."""
+        texts = [b"".join(parts[k : k + together]).decode("utf-8", "replace") for k in range(0, len(parts), together)]
+        codes = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if not codes:
+            return
+        ids = np.concatenate([np.asarray(code.ids, dtype=np.uint32) for code in codes])
+        ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
+        cuts = (4 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")).tolist()
+        data, first = ids.tobytes(), 0
+        for part, cut in zip(parts, cuts, strict=True):
+            self.known[part] = data[first:cut]
+            first = cut
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and the offsets of each text's ids. A null is empty."""
-        column = column.fill_null("")
-        whole = pc.match_substring(column, CUT)
-        marked = pc.replace_substring(pc.replace_substring(column, " ", CUT + " "), "\n", "\n" + CUT)
-        lists = pc.split_pattern(marked, CUT)
-        at = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.values.dictionary_encode()
-        index = coded.indices.to_numpy()[at[0] : at[-1]]
-        at = at - at[0]
-        parts = coded.dictionary.to_pylist()
-        data = self._codes(parts)
-        size = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 4
-        flat = np.frombuffer(b"".join(data), dtype=np.uint32)
-
-        bad = np.fromiter(map(doubtful, parts), dtype=bool, count=len(parts))
-        whole = whole.to_numpy(zero_copy_only=False).copy()
-        if bad.any():
-            sums = np.concatenate([[0], np.cumsum(bad[index])])
-            whole |= sums[at[1:]] > sums[at[:-1]]
+        data, at = utf8(column)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
+        starts = part_starts(data, at)
+        bounds = np.append(starts, len(data)).astype(np.int32)
+        coded = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        index, parts, at = coded.indices.to_numpy(), coded.dictionary.to_pylist(), np.searchsorted(starts, at)
+        codes = self._codes(parts)
+        size = np.fromiter(map(len, codes), dtype=np.int64, count=len(codes)) // 4
+        flat = np.frombuffer(b"".join(codes), dtype=np.uint32)
         counts = size[index]
-        sums = np.concatenate([[0], np.cumsum(counts)])
-        starts = (np.cumsum(size) - size)[index]
-        ids = flat[np.repeat(starts - sums[:-1], counts) + np.arange(sums[-1])]
+        sums = np.zeros(len(counts) + 1, dtype=np.int64)
+        np.cumsum(counts, out=sums[1:])
+        ids = flat[np.repeat((np.cumsum(size) - size)[index] - sums[:-1], counts) + np.arange(sums[-1])]
         ends = sums[at]
-        if not whole.any():
+
+        bad = np.fromiter(map(doubtful, parts), dtype=bool, count=len(parts))
+        if not bad.any():
             return ids, ends
-        pick = np.flatnonzero(whole)
-        again = self.tokenizer.encode_batch_fast(column.take(pa.array(pick)).to_pylist(), add_special_tokens=False)
+        sums = np.concatenate([[0], np.cumsum(bad[index])])
+        whole = np.flatnonzero(sums[at[1:]] > sums[at[:-1]])
+        again = self.tokenizer.encode_batch_fast(column.take(pa.array(whole)).to_pylist(), add_special_tokens=False)
         out = [ids[ends[k] : ends[k + 1]] for k in range(len(column))]
-        for k, code in zip(pick, again, strict=True):
+        for k, code in zip(whole, again, strict=True):
             out[k] = np.asarray(code.ids, dtype=np.uint32)
         return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
 
