@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.llm.ann import PermutationIndex
 from creditloom.llm.langid import identify_language
 from creditloom.llm.mixing import mix
 from creditloom.llm.neardup import near_duplicates
@@ -17,6 +18,11 @@ from creditloom.llm.token_files import read_token_files, write_token_files
 from creditloom.session import scratch_dir
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = PermutationIndex(table(spark, sf_dir, "embeddings"))
+    return index.search(index.rows.filter("vec_id % 50 = 0"))
+
+
 def op2_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return classify_quality(docs, labels).select("doc_id", "held_out", "score", "predicted")
@@ -65,6 +71,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_permutation_index": op1_permutation_index,
     "op2_rule_ensemble": op2_rule_ensemble,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_pivotal_mixing": op4_pivotal_mixing,
