@@ -10,6 +10,7 @@ from creditloom.llm.langid import identify_language
 from creditloom.llm.mixing import mix
 from creditloom.llm.neardup import near_duplicates
 from creditloom.llm.packing import pack
+from creditloom.llm.passages import repeated_passages
 from creditloom.llm.quality_rules import quality_rules
 from creditloom.llm.rule_ensemble import classify_quality
 from creditloom.llm.secrets import BASE_KINDS, joined, scan_secrets
@@ -38,6 +39,10 @@ def op4_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules(docs, labels).select(
@@ -75,6 +80,7 @@ LLM_QUERIES = {
     "op2_rule_ensemble": op2_rule_ensemble,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_pivotal_mixing": op4_pivotal_mixing,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_quality_rules": op6_quality_rules,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_language_id": op8_language_id,
