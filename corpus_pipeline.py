@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm.langid import UNKNOWN, identify_language
+from creditloom.llm.langid import known_language
 from creditloom.llm.mixing import mixed_documents
 from creditloom.llm.neardup import without_near_duplicates
 from creditloom.llm.packing import pack
@@ -23,8 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Those without a letter, or between languages, go; lang becomes the predicted one.
     """
-    known = identify_language(docs).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5))
-    return known.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return known_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,4 +88,34 @@ LLM_QUERIES = {
     "op10_token_files": op10_token_files,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+# Exact links by shared shingles and their closure, for the registered near-duplicate query.
+OP7_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+), least_reached AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached ON a = d.doc_id
+"""
+
+LLM_ORACLES: dict[str, str] = {"op7_near_duplicates": OP7_SQL}

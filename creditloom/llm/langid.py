@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from creditloom.llm.stats import bucket, crc_of_id
+from creditloom.llm.tables import aside
 from creditloom.llm.words import slices
 
 UNKNOWN = "und"
@@ -150,3 +151,13 @@ def classify(ids: np.ndarray, at: np.ndarray, logs: np.ndarray) -> tuple[np.ndar
     best = total.argmax(axis=1)
     score = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
     return np.where(empty, langs, best), np.where(empty, 1.0, score)
+
+
+def known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs`` whose language is predicted with a posterior of at least ``least``.
+
+    Rows without a letter go. lang becomes the predicted language; all other columns stay.
+    """
+    rows, back = aside(docs, ("lang_pred", "score", "held_out"))
+    known = identify_language(rows, **options).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return known.withColumn("lang", F.col("lang_pred")).select(*rows.columns).withColumnsRenamed(back)

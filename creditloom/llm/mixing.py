@@ -192,8 +192,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it."""
     units = mix_sizes(measured(docs), **options).filter("copies > 0").select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
+        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source")) & (word_count(F.col("text")) == F.col("_size"))
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return docs.join(units, same).withColumn("_copy", times).select(*[docs[c] for c in docs.columns])
+    same = docs["doc_id"].eqNullSafe(units["_doc"]) & docs["source"].eqNullSafe(units["_source"]) & (word_count(docs["text"]) == units["_size"])
+    times = F.explode(F.sequence(F.lit(1).cast("long"), units["_copies"])).alias("_copy")
+    return docs.join(units, same).select(*[docs[c] for c in docs.columns], times).drop("_copy")

@@ -3,9 +3,8 @@
 The gear hash of the last 32 bytes, read at the end of every word, cuts a text after the
 words where it is least among its neighbours; so chunks depend on what is near them
 only, and an insertion moves no cut beyond its surroundings. Chunks are deduplicated by
-digest. A run of repeated chunks that, with its neighbours, could hold a long enough
-passage is confirmed word by word against the first and the last document that have the
-chunk.
+digest. Runs of repeated chunks that could belong to a long enough passage are confirmed word
+by word against the first and the last document that have the chunk.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.langid import text_list
 from creditloom.llm.tables import stored
 from creditloom.llm.words import BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
@@ -86,6 +86,39 @@ def chunk_lists(docs: DataFrame, radius: int) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema).filter(F.size("digests") > 0)
 
 
+def listed_chunks(lists: DataFrame, bits: np.ndarray) -> DataFrame:
+    """doc_id, turn, digest, pos and n of the chunks whose digests may be in the bitmap."""
+    schema = StructType([
+        lists.schema["doc_id"], StructField("turn", IntegerType()), StructField("digest", LongType()), StructField("pos", IntegerType()), StructField("n", IntegerType()),
+    ])
+    sent = lists.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                count = part.column("digests").value_lengths().to_numpy()
+                row, turn = np.repeat(np.arange(len(count)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                digest, pos, n = (part.column(c).flatten().to_numpy() for c in ("digests", "starts", "sizes"))
+                pick = np.flatnonzero(may_have(sent.value, digest))
+                columns = [part.column("doc_id").take(pa.array(row[pick])), *[pa.array(x[pick], t) for x, t in ((turn, pa.int32()), (digest, pa.int64()), (pos, pa.int32()), (n, pa.int32()))]]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return lists.select("doc_id", "digests", "starts", "sizes").mapInArrow(work, schema)
+
+
+def chosen_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """doc_id and text of the documents that ``named`` names, and of a few others."""
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(named.select(id_hash(F.col("doc_id")).alias("h")), "h"))
+    schema = StructType([docs.schema["doc_id"], docs.schema["text"]])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_have(sent.value, batch.column("h").to_numpy()))).select(["doc_id", "text"])
+
+    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", id_hash(F.col("doc_id")).alias("h")).mapInArrow(work, schema)
+
+
 def common_run(left: list[str], right: list[str], i: int, j: int) -> tuple[int, int]:
     """Start in ``left`` and length of the longest equal run that holds left[i] = right[j]."""
     if not (i < len(left) and j < len(right)) or left[i] != right[j]:
@@ -131,10 +164,12 @@ def confirm(wide: DataFrame, min_words: int) -> DataFrame:
 SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 4) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, least_run: int | None = None) -> DataFrame:
     """doc_id, start, n_words, other_doc_id: passages that another document has as well.
 
-    start counts words; n_words is at least ``min_words``. A document that has a passage
+    start counts words; n_words is at least ``min_words``. Looked at are runs of shared
+    chunks with ``least_run`` words or more, by default a third of ``min_words``: of a
+    passage of 50 words, 21 or more lie in shared chunks whatever surrounds it. A document that has a passage
     is compared with the first and the last document sharing one of its chunks, so a
     passage of many documents gives a row or two each, not one per pair. Documents
     without such a passage have no row; null and empty texts and null ids take no part.
@@ -142,26 +177,17 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 4) ->
     empty table gives an empty result.
     """
     lists = stored(chunk_lists(docs, radius), "chunk-lists")
-    pieces = lists.select("doc_id", "starts", "sizes", F.posexplode("digests").alias("turn", "digest"))
+    least_run = least_run if least_run is not None else min_words // 3
+    pieces = lists.select("doc_id", F.explode("digests").alias("digest"))
     shared = pieces.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc <> last_doc")
-    # shared chunks of all documents, with the words before them and of their neighbours
-    size_at = lambda k: F.coalesce(F.get("sizes", k), F.lit(0))
-    here = stored(
-        pieces.join(shared, "digest").select(
-            "digest", "doc_id", "turn", "first_doc", "last_doc", size_at(F.col("turn")).alias("n"), size_at(F.col("turn") - 1).alias("n_before"), size_at(F.col("turn") + 1).alias("n_after"),
-            F.get("starts", F.col("turn")).alias("pos"),
-        ),
-        "shared-chunks",
-    )
+    shared = stored(shared, "shared-digests")
+    here = stored(listed_chunks(lists, bitmap(shared, "digest")).join(shared, "digest"), "shared-chunks")
 
     order = Window.partitionBy("doc_id").orderBy("turn")
-    runs = here.select("doc_id", "turn", "n", "n_before", "n_after").distinct().withColumn("run", F.col("turn") - F.row_number().over(order))
+    runs = here.select("doc_id", "turn", "n").distinct().withColumn("run", F.col("turn") - F.row_number().over(order))
     long = (
-        runs.groupBy("doc_id", "run").agg(
-            F.min("turn").alias("from"), F.max("turn").alias("to"), F.sum("n").alias("words"),
-            F.min_by("n_before", "turn").alias("before"), F.max_by("n_after", "turn").alias("after"),
-        )
-        .filter(F.col("words") + F.col("before") + F.col("after") >= min_words).select(F.col("doc_id").alias("d"), "from", "to")
+        runs.groupBy("doc_id", "run").agg(F.min("turn").alias("from"), F.max("turn").alias("to"), F.sum("n").alias("words"))
+        .filter(F.col("words") >= least_run).select(F.col("doc_id").alias("d"), "from", "to")
     )
     inside = (F.col("doc_id") == F.col("d")) & F.col("turn").between(F.col("from"), F.col("to"))
     wanted = stored(here.join(long, inside, "left_semi"), "long-runs")
@@ -176,7 +202,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 4) ->
     placed = stored(placed.select("doc_id", "other", "p.pos", "p.other_pos"), "alignments")
 
     named = placed.select("doc_id").unionByName(placed.select(F.col("other").alias("doc_id"))).distinct()
-    texts = stored(docs.select("doc_id", "text").join(named, "doc_id", "left_semi"), "passage-texts")
+    texts = stored(chosen_texts(docs, named), "passage-texts")
     wide = placed.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("its")), "other")
     found = confirm(wide, min_words)
     return found.groupBy("doc_id", "start", "n_words").agg(F.min("other_doc_id").alias("other_doc_id"))

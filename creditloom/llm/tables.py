@@ -20,3 +20,9 @@ def stored(frame: DataFrame, label: str, compression: str = "zstd") -> DataFrame
     path = scratch_dir(frame.sparkSession, label)
     frame.write.option("compression", compression).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with the named columns out of the way, and how to name them back."""
+    back = {f"_aside_{k}": c for k, c in enumerate(docs.columns) if c.lower() in names}
+    return docs.withColumnsRenamed({c: k for k, c in back.items()}), back
