@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.mixing import draw
+from creditloom.llm.tables import aside
 
 
 @dataclass(frozen=True)
@@ -92,23 +94,24 @@ def transitions(words: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("t.a").alias("a"), F.col("t.b").alias("b")).agg(F.count("*").alias("n"))
 
 
-def log_ratios(random: DataFrame, names: DataFrame, uniform: float = 0.5, smoothing: float = 0.1) -> list[float]:
+def log_ratios(random: DataFrame, names: DataFrame, uniform: float = 0.5, backing: float = 5.0) -> list[float]:
     """log P(b | a, random string) - log P(b | a, name), for all pairs of states in order.
 
-    Random strings mix what their samples show with a uniform choice. Both tables have at
-    most a row per pair of states, whatever they were counted from.
+    A seldom seen a leans on how often b follows anything (``backing`` counts' worth).
+    Random strings mix what their samples show with a uniform choice. Both tables have
+    at most a row per pair of states, whatever they were counted from.
     """
-    from math import log
 
-    counts = [[[smoothing] * STATES for _ in range(STATES)] for _ in range(2)]
-    for table, frame in zip(counts, (random, names), strict=True):
+    def model(frame: DataFrame) -> list[list[float]]:
+        table = [[0.0] * STATES for _ in range(STATES)]
         for a, b, n in frame.select("a", "b", "n").collect():
             table[a - 1][b - 1] += n
-    out = []
-    for own, other in zip(*counts, strict=True):
-        p, q = sum(own), sum(other)
-        out += [log(uniform / STATES + (1 - uniform) * x / p) - log(y / q) for x, y in zip(own, other, strict=True)]
-    return out
+        ends = [sum(row[b] for row in table) + 0.5 for b in range(STATES)]
+        total = sum(ends)
+        return [[(n + backing * ends[b] / total) / (sum(row) + backing) for b, n in enumerate(row)] for row in table]
+
+    pairs = zip(model(random), model(names), strict=True)
+    return [log(uniform / STATES + (1 - uniform) * x) - log(y) for own, other in pairs for x, y in zip(own, other, strict=True)]
 
 
 def likelihood_ratio(word: Column, ratios: list[float]) -> Column:
@@ -197,9 +200,13 @@ def masked(text: Column, spans: Column, mask: str) -> Column:
 
 
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
-    """The rows of ``docs`` with secrets masked in the text; n_chars follows the new text."""
-    found = scan_secrets(docs, **options).withColumn("text", masked(F.col("text"), F.col("spans"), mask))
+    """The rows of ``docs`` with secrets masked in the text; n_chars follows the new text.
+
+    Every other column stays as it is, whatever its name.
+    """
+    rows, back = aside(docs, ("base_spans", "spans"))
+    found = scan_secrets(rows, **options).withColumn("text", masked(F.col("text"), F.col("spans"), mask))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+    return found.select(*rows.columns).withColumnsRenamed(back)
