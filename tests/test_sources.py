@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -157,6 +158,30 @@ def test_late_file_adds_only_its_snapshot(spark, credit_dir, tmp_path):
     assert out.filter("late = 'z'").count() == 1
 
 
+def test_old_and_corrected_files_are_loaded(spark, credit_dir, tmp_path):
+    layer, mark, lost, audit = (str(tmp_path / n) for n in ("layer", "mark", "lost", "audit"))
+
+    def load():
+        days = ingest_new_snapshots(spark, str(credit_dir), layer, mark, quarantine=lost, audit=audit, days_per_batch=1)
+        rows = scans.read_layer(spark, layer, merge_schema=True).select("snapshot_date", "loan_id", "arrears").collect()
+        return [str(d) for d in days], {(str(r[0]), r[1]): r[2] for r in rows}
+
+    assert load()[0] == ["2025-01-01", "2025-03-30"]
+    assert load()[0] == []
+    late = credit_dir / "Credit Data - 30-09-2024.csv"
+    late.write_text(HEADER + "\n" + line("OLD", "9/1/2024", 7) + "\n" + line("OLD", "8/1/2024", 6) + "\n")
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    days, rows = load()
+    assert days == ["2024-09-30"] and ("2024-09-30", "OLD") in rows and len(rows) == 5
+    assert spark.read.parquet(lost).filter("loan_id = 'OLD'").count() == 1
+    late.write_text(HEADER + "\n" + line("NEW", "9/1/2024", 70) + "\n")
+    days, rows = load()
+    assert days == ["2024-09-30"] and ("2024-09-30", "NEW") in rows and ("2024-09-30", "OLD") not in rows and len(rows) == 5
+    assert load()[0] == []
+    counts = spark.read.json(audit).groupBy("metric").count().collect()
+    assert {"in_rows", "out_rows", "rejected_rows"} <= {r.metric for r in counts}
+
+
 # --- the whole run ----------------------------------------------------------------------
 
 
