@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -64,17 +65,21 @@ def mean_positive(value: Column) -> Column:
     return mean(F.when(value > 0, value))
 
 
+def within(value: Column, spec: Band) -> Column:
+    """Lower bound included, upper bound excluded; an absent bound does not bind."""
+    tests = [(operator.ge, spec.lo), (operator.lt, spec.hi)]
+    return reduce(operator.and_, (test(value, edge) for test, edge in tests if edge is not None), value.isNotNull())
+
+
 def band(value: Column, bands: Sequence[Band]) -> Column:
-    """Label of the band holding the value. Where bands overlap the last one listed wins."""
-    label = F.lit(None).cast("string")
-    for spec in bands:
-        inside = value.isNotNull()
-        if spec.lo is not None:
-            inside &= value >= spec.lo
-        if spec.hi is not None:
-            inside &= value < spec.hi
-        label = F.when(inside, spec.label).otherwise(label)
-    return label
+    """Label of the band holding the value, as one CASE over the bands from the last to the first.
+
+    So the last band listed wins where bands overlap.
+    """
+    branches = [(within(value, spec), spec.label) for spec in reversed(bands)]
+    if not branches:
+        return F.lit(None).cast("string")
+    return reduce(lambda case, branch: case.when(*branch), branches[1:], F.when(*branches[0]))
 
 
 def band_order(label: Column, labels: Iterable[str]) -> Column:

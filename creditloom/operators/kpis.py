@@ -152,33 +152,37 @@ def delinquency_pivot(
 ) -> DataFrame:
     """Mean delinquency percent, one row per band and one column per snapshot.
 
-    Without ``order`` every band but Unknown is shown, sorted by name. With it only
-    the bands listed are shown, in that order.
+    Every band but Unknown is shown: those listed in ``order`` first and in that order,
+    the others by name.
     """
-    shown = F.col(label) != UNKNOWN if order is None else F.col(label).isin(*order)
     wide = (
-        by_band.filter(shown)
+        by_band.filter(F.col(label) != UNKNOWN)
         .withColumn("_snapshot", F.col("snapshot_date").cast("string"))
         .groupBy(label)
         .pivot("_snapshot", list(snapshots))
         .agg(F.avg("delinquency_rate") * 100)
     )
-    return wide.orderBy(label if order is None else band_order(F.col(label), order))
+    declared = [band_order(F.col(label), order)] if order else []
+    return wide.orderBy(*declared, label)
 
 
-def risk_mix_percent(by_risk: DataFrame) -> DataFrame:
-    """Share of accounts per risk class in percent, one row per snapshot, worst class first."""
-    wide = (
-        by_risk.groupBy("snapshot_date")
-        .pivot("risk_category", list(RISK_ORDER))
-        .agg(F.sum("accounts"))
-        .fillna(0)
-    )
-    total = sum((F.col(c) for c in RISK_ORDER[1:]), F.col(RISK_ORDER[0])).cast("double")
-    return wide.select(
-        "snapshot_date",
-        *[(F.try_divide(F.col(c).cast("double"), total) * 100).alias(c) for c in RISK_ORDER],
-    ).orderBy("snapshot_date")
+def risk_mix_percent(
+    by_risk: DataFrame, order: Sequence[str] = RISK_ORDER, rest: str | None = None
+) -> DataFrame:
+    """Share of accounts per risk class in percent, one row per snapshot.
+
+    ``order`` names the classes, as ``Settings.risk_classes`` has them. Shares are of all
+    accounts, whatever their class; ``rest`` names a last column for classes not listed.
+    """
+    accounts = F.col("accounts").cast("double")
+    cells = [(F.col("risk_category") == c, c) for c in order]
+    if rest:
+        cells.append((~F.coalesce(F.col("risk_category").isin(*order), F.lit(False)), rest))
+    shares = [
+        (F.try_divide(F.coalesce(F.sum(F.when(test, accounts)), F.lit(0.0)), F.sum(accounts)) * 100).alias(name)
+        for test, name in cells
+    ]
+    return by_risk.groupBy("snapshot_date").agg(*shares).orderBy("snapshot_date")
 
 
 def first_and_last(health: DataFrame, kpis: Sequence[str] = HEADLINE_KPIS) -> DataFrame:

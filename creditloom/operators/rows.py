@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from creditloom.functions.text import snake_header
 
 
-def normalise_headers(df: DataFrame) -> DataFrame:
+def normalise_headers(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Snake-case headers; padding columns (no name, ``_c<N>``, ``Unnamed: <N>``) are dropped.
 
+    Columns in ``keep`` (a scan's own) stay as they are, whatever the raw headers are.
     Metadata only. Two headers that become equal raise, because picking one of
     them would lose data silently.
     """
     kept: list[Column] = []
     seen: dict[str, str] = {}
     for raw in df.columns:
+        if raw in keep:
+            kept.append(F.col(raw))
+            continue
         # the CSV scan calls an empty header _c<N>, which is a fine name once normalised
         name = "" if re.fullmatch(r"_c\d+", raw) else snake_header(raw)
         if not name or name.startswith("unnamed_"):

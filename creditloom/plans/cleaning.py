@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +14,7 @@ from creditloom.functions.numbers import nps_class, to_flag, to_number
 from creditloom.functions.text import title_case
 from creditloom.operators.dedupe import contested_rows, keep_latest, losing_rows
 from creditloom.operators.joins import checked_left_join
-from creditloom.operators.rows import (
-    drop_blank_rows,
-    map_columns,
-    normalise_headers,
-    union_aligned,
-)
+from creditloom.operators.rows import drop_blank_rows, normalise_headers, union_aligned
 from creditloom.sources.scans import ORDINAL, SNAPSHOT
 
 # --- fixed values: columns by role, and the survey question's prefix ---------
@@ -71,56 +67,102 @@ SCORE_QUESTION = "using_a_scale_from_0"
 CREDIT_KEY = ("loan_id", "snapshot_date")
 
 
-def _with_helpers(df: DataFrame) -> DataFrame:
-    """Normalised headers, with the scan's own helper columns carried along."""
-    helpers = [c for c in (ORDINAL, SNAPSHOT) if c in df.columns]
-    plain = normalise_headers(df)
-    # the helpers' leading underscore does not survive normalisation
-    return plain.withColumnsRenamed({h.strip("_"): h for h in helpers})
-
-
-def _dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Latest row per key; the last input row wins ties where the scan recorded an ordinal."""
-    order = [c for c in order_by if c in df.columns]
-    tie = [ORDINAL] if ORDINAL in df.columns else None
-    return keep_latest(df, keys, order, tie)
+@dataclass(frozen=True)
+class Source:
+    """What a cleaner has to know about one kind of export.
 
+    A row counts if it has a value in one of ``present``. Of the rows of one ``key``
+    the one that is highest in ``newest`` stays, then the last one read. Columns that
+    an export lacks are passed over.
+    """
 
-def _keyed_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
-    """Normalised headers, no blank rows, the snapshot date; values are text still."""
+    present: tuple[str, ...]
+    key: tuple[str, ...]
+    newest: tuple[str, ...] = ()
+    dates: tuple[str, ...] = ()
+    numbers: tuple[str, ...] = ()
+    flags: tuple[str, ...] = ()
+    texts: tuple[str, ...] = ()
+    titles: tuple[str, ...] = ()
+    names: Mapping[str, str] = field(default_factory=dict)  # by how a header begins
+    derived: Mapping[str, tuple[str, Callable[[Column], Column]]] = field(default_factory=dict)
+    flat: bool = False  # nested columns become text
+
+
+SOURCES = {
+    "credit": Source(
+        ("loan_id",), CREDIT_KEY, ("max_payment_date",), CREDIT_DATES, CREDIT_NUMBERS, texts=CREDIT_TEXTS, names={"customer_age": "loan_age_days"}
+    ),
+    # sales without a loan id are one null key
+    "sales": Source(
+        ("sale_id", "loan_id"), ("loan_id",), ("sale_date",), ("sale_date", "return_date"), ("cash_price", "loan_price"), ("returned",), SALES_TEXTS
+    ),
+    "gender": Source(("loan_id",), ("loan_id",), titles=("citizenship", "gender")),
+    "dob": Source(("loan_id",), ("loan_id",), ("createdat_utc",), ("date_of_birth", "createdat_utc")),
+    "income": Source(("loan_id",), ("loan_id",), ("received",), numbers=INCOME_NUMBERS),
+    "nps": Source(
+        ("submission_id", "loan_id"), ("submission_id",), dates=("submitted_at",), numbers=("nps_score",), names={SCORE_QUESTION: "nps_score"},
+        derived={"nps_bucket": ("nps_score", nps_class)}, flat=True,
+    ),
+}
+
+
+def _keyed(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
+    """Normalised headers, no blank rows, the snapshot date if there is one; all text still."""
+    out = drop_blank_rows(normalise_headers(df, keep=(ORDINAL, SNAPSHOT)), source.present)
+    if snapshot_date is None and SNAPSHOT not in df.columns:
+        return out
     stamp = F.col(SNAPSHOT) if snapshot_date is None else F.lit(snapshot_date)
-    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
     return out.withColumn("snapshot_date", F.to_date(stamp)).drop(SNAPSHOT)
 
 
-def _typed_credit(keyed: DataFrame) -> DataFrame:
-    out = parse_dates(keyed, CREDIT_DATES)
-    out = out.withColumnsRenamed({"customer_age": "loan_age_days"})
-    out = map_columns(out, CREDIT_TEXTS, F.trim)
-    return map_columns(out, CREDIT_NUMBERS, to_number)
+def _typed(keyed: DataFrame, source: Source) -> DataFrame:
+    """Every declared column converted, in one projection but for the dates."""
+    renamed: dict[str, str] = {}
+    for prefix, name in source.names.items():
+        renamed |= {c: name for c in keyed.columns if c.startswith(prefix) and name not in renamed.values()}
+    out = parse_dates(keyed.withColumnsRenamed(renamed), source.dates)
+    kinds = ((source.numbers, to_number), (source.flags, to_flag), (source.texts, F.trim), (source.titles, title_case))
+    new = {c: convert(F.col(c)) for names, convert in kinds for c in names if c in out.columns}
+    if source.flat:
+        complex_types = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+        new |= {f.name: F.col(f.name).cast("string") for f in out.schema if isinstance(f.dataType, complex_types) and f.name != ORDINAL}
+    out = out.withColumns(new)
+    return out.withColumns({name: make(F.col(c)) for name, (c, make) in source.derived.items() if c in out.columns})
 
 
-def clean_credit_snapshot(df: DataFrame, snapshot_date=None) -> DataFrame:
-    """One row per loan and snapshot, typed.
+def _ranking(df: DataFrame, source: Source) -> tuple[list[str], list[str], list[str] | None]:
+    present = lambda names: [c for c in names if c in df.columns]
+    return list(source.key), present(source.newest), present([ORDINAL]) or None
 
-    The snapshot date is the one given or the one the scan took from the file
-    name. Of several rows the one with the newest payment date stays.
-    """
-    typed = _typed_credit(_keyed_credit(df, snapshot_date))
-    if "loan_id" not in typed.columns:
+
+def clean(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
+    """One typed row per key. An export without the key columns is typed only."""
+    typed = _typed(_keyed(df, source, snapshot_date), source)
+    if not set(source.key) <= set(typed.columns):
         return typed.drop(ORDINAL)
-    return _dedupe(typed, CREDIT_KEY, ["max_payment_date"]).drop(ORDINAL)
+    return keep_latest(typed, *_ranking(typed, source)).drop(ORDINAL)
 
 
-def quarantine_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
-    """The rows ``clean_credit_snapshot`` leaves out, typed.
+def rejected(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
+    """The rows that ``clean`` leaves out for another row of their key, typed.
 
     The key needs no typing, so only rows that share theirs are parsed.
     """
-    contested = _typed_credit(contested_rows(_keyed_credit(df, snapshot_date), CREDIT_KEY))
-    order = [c for c in ("max_payment_date",) if c in contested.columns]
-    tie = [ORDINAL] if ORDINAL in contested.columns else None
-    return losing_rows(contested, CREDIT_KEY, order, tie).drop(ORDINAL)
+    keyed = _keyed(df, source, snapshot_date)
+    if not set(source.key) <= set(keyed.columns):
+        return _typed(keyed, source).drop(ORDINAL).limit(0)
+    contested = _typed(contested_rows(keyed, source.key), source)
+    return losing_rows(contested, *_ranking(contested, source)).drop(ORDINAL)
+
+
+def clean_credit_snapshot(df: DataFrame, snapshot_date=None) -> DataFrame:
+    """One row per loan and snapshot, dated as given or by the scanned file's name."""
+    return clean(df, SOURCES["credit"], snapshot_date)
+
+
+def quarantine_credit(df: DataFrame, snapshot_date=None) -> DataFrame:
+    return rejected(df, SOURCES["credit"], snapshot_date)
 
 
 def clean_all_credit(frames: Sequence[DataFrame]) -> DataFrame:
@@ -131,54 +173,28 @@ def clean_all_credit(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def clean_sales(df: DataFrame) -> DataFrame:
-    """Newest sale per loan. Sales without a loan id collapse to one row, as one null key."""
-    out = drop_blank_rows(_with_helpers(df), ["sale_id", "loan_id"])
-    out = parse_dates(out, ["sale_date", "return_date"])
-    out = map_columns(out, ["cash_price", "loan_price"], to_number)
-    out = map_columns(out, ["returned"], to_flag)
-    out = map_columns(out, SALES_TEXTS, F.trim)
-    return _dedupe(out, ["loan_id"], ["sale_date"]).drop(ORDINAL)
+    """Newest sale per loan."""
+    return clean(df, SOURCES["sales"])
 
 
 def clean_gender(df: DataFrame) -> DataFrame:
     """Title-cased attributes; the last row of the file per loan."""
-    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
-    out = map_columns(out, ["citizenship", "gender"], title_case)
-    return _dedupe(out, ["loan_id"], []).drop(ORDINAL)
+    return clean(df, SOURCES["gender"])
 
 
 def clean_dob(df: DataFrame) -> DataFrame:
     """Newest date-of-birth record per loan."""
-    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
-    out = parse_dates(out, ["date_of_birth", "createdat_utc"])
-    return _dedupe(out, ["loan_id"], ["createdat_utc"]).drop(ORDINAL)
+    return clean(df, SOURCES["dob"])
 
 
 def clean_income(df: DataFrame) -> DataFrame:
     """The record with the largest inflow per loan."""
-    out = drop_blank_rows(_with_helpers(df), ["loan_id"])
-    out = map_columns(out, INCOME_NUMBERS, to_number)
-    return _dedupe(out, ["loan_id"], ["received"]).drop(ORDINAL)
+    return clean(df, SOURCES["income"])
 
 
 def clean_nps(df: DataFrame) -> DataFrame:
     """Survey responses: score and class, one row per submission, all else text."""
-    out = drop_blank_rows(_with_helpers(df), ["submission_id", "loan_id"])
-    question = next((c for c in out.columns if c.startswith(SCORE_QUESTION)), None)
-    if question:
-        out = out.withColumnRenamed(question, "nps_score")
-    out = parse_dates(out, ["submitted_at"])
-    if "nps_score" in out.columns:
-        out = map_columns(out, ["nps_score"], to_number)
-        out = out.withColumn("nps_bucket", nps_class(F.col("nps_score")))
-    if "submission_id" in out.columns:
-        out = _dedupe(out, ["submission_id"], [])
-    nested = [
-        f.name
-        for f in out.schema.fields
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))
-    ]
-    return map_columns(out, nested, lambda c: c.cast("string")).drop(ORDINAL)
+    return clean(df, SOURCES["nps"])
 
 
 def build_customer_master(

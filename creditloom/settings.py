@@ -161,6 +161,12 @@ class Settings:
     expected_columns: tuple[str, ...] = EXPECTED_COLUMNS
     routing: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: dict(SEVERITY_ROUTING))
 
+    @property
+    def risk_classes(self) -> tuple[str, ...]:
+        """Labels of the risk rules, worst first; what no rule holds is Low."""
+        labels = [r.label for r in self.risk_rules]
+        return tuple(dict.fromkeys(labels if any(r.default for r in self.risk_rules) else [*labels, RISK_ORDER[-1]]))
+
     @classmethod
     def from_mapping(cls, doc: Mapping[str, Any]) -> Settings:
         """Settings from a parsed configuration document; absent parts keep their defaults."""
