@@ -26,15 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """For work that is heavy per row: give every core a part of a scan with few splits.
-
-    A scan that has a split per core already, as any large table has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _money(value: Column, factor: Column | int | None = None) -> Column:
     cents = value.cast("decimal(18,2)")
     return cents if factor is None else (cents * factor).cast("decimal(20,2)")

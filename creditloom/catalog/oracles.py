@@ -483,6 +483,11 @@ ORACLES: dict[str, str] = {
         ROUND(SUM(CASE WHEN risk_category = 'Medium' THEN accounts ELSE 0 END)::DOUBLE / ANY_VALUE(total) * 100, 6) AS "Medium",
         ROUND(SUM(CASE WHEN risk_category = 'Low' THEN accounts ELSE 0 END)::DOUBLE / ANY_VALUE(total) * 100, 6) AS "Low"
       FROM by_risk JOIN totals USING (snapshot_date) GROUP BY snapshot_date""",
+    "risk_mix_custom": f"""WITH {CREDIT_FEATURES}
+      SELECT snapshot_date, ROUND(AVG(CAST(days_past_due >= 60 AS DOUBLE)) * 100, 6) AS "Severe",
+        ROUND(AVG(CAST(days_past_due < 7 AS DOUBLE)) * 100, 6) AS "Fine",
+        ROUND(AVG(CAST(days_past_due >= 7 AND days_past_due < 60 AS DOUBLE)) * 100, 6) AS "Other"
+      FROM cfeat GROUP BY snapshot_date""",
     "first_last_kpis": f"""WITH {HEALTH},
       ends AS (SELECT MIN(snapshot_date) AS a, MAX(snapshot_date) AS b FROM health),
       pair AS (SELECT f.*, l.delinquency_rate AS l1, l.par30_rate AS l2, l.write_off_rate AS l3,
@@ -562,6 +567,10 @@ ORACLES: dict[str, str] = {
     "dedupe_sales": f"WITH {SALES} SELECT * EXCLUDE (return_date) FROM sales",
     "dedupe_dob": f"WITH {DOB} SELECT * FROM dob",
     "dedupe_income": f"WITH {INCOME} SELECT * FROM income",
+    "sheet_quarantine": """
+      SELECT CAST(l_orderkey AS VARCHAR) AS loan_id, COUNT(*) - 1 AS rejected, sheet
+      FROM lineitem, (VALUES ('sales'), ('dob'), ('income')) AS v(sheet)
+      GROUP BY l_orderkey, sheet HAVING COUNT(*) > 1""",
     "dedupe_keep_last": """
       SELECT user_id, event_id, event_type, "value" FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""",

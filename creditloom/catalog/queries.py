@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from creditloom.functions.text import title_case
 from creditloom.operators import audit, dedupe, joins, kpis, profiling, quality, rows
 from creditloom.plans import cleaning, features, warehouse
 from creditloom.session import scratch_dir
-from creditloom.settings import INCOME_BANDS, Settings
+from creditloom.settings import INCOME_BANDS, AtLeast, Rule, Settings
 from creditloom.sources import sinks
 from creditloom.sources.scans import SNAPSHOT
 
@@ -140,6 +141,15 @@ def risk_mix_pct(spark, sf_dir):
     return rounded(kpis.risk_mix_percent(kpis.kpis_by_risk(_credit_features(spark, sf_dir))))
 
 
+@query
+def risk_mix_custom(spark, sf_dir):
+    """Own class names and limits, one of them not listed in the report's order."""
+    rules = (Rule("Severe", (AtLeast("days_past_due", 60),)), Rule("Watch", (AtLeast("days_past_due", 7),)), Rule("Fine", default=True))
+    table = _credit_features(spark, sf_dir)
+    named = table.withColumn("risk_category", classify(rules, table.columns))
+    return rounded(kpis.risk_mix_percent(kpis.kpis_by_risk(named), ("Severe", "Fine"), rest="Other"))
+
+
 @query
 def first_last_kpis(spark, sf_dir):
     return rounded(kpis.first_and_last(kpis.portfolio_health(_credit_features(spark, sf_dir))))
@@ -264,7 +274,7 @@ def mixed_dates(spark, sf_dir):
         .when(style == 6, F.date_format(day, "MMMM d, yyyy"))
         .otherwise(F.concat(F.lit("on "), F.date_format(day, "yyyy")))
     )
-    orders = A.spread(A.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    orders = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     parsed = F.col("parsed")
     return parse_dates(orders.select("o_orderkey", text.alias("parsed")), ["parsed"]).select(
         "o_orderkey",
@@ -310,7 +320,7 @@ def title_case_text(spark, sf_dir):
 
 def _raw_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The credit table as exported text: raw headers, padding, older copies, blank rows."""
-    credit = A.credit(spark, sf_dir, A.spread)
+    credit = A.credit(spark, sf_dir)
     loan = F.col("loan_id")
     # up to three rows per loan: the row itself, an older copy, a blank row
     kind = F.col("kind")
@@ -363,6 +373,17 @@ def credit_quarantine(spark, sf_dir):
     )
 
 
+@query
+def sheet_quarantine(spark, sf_dir):
+    """Rows of the customer sheets that lose their loan to another row, per loan."""
+    sheets = {"sales": _raw_sales, "dob": _raw_dob, "income": _raw_income}
+    lost = [
+        cleaning.rejected(raw(spark, sf_dir), cleaning.SOURCES[name]).groupBy("loan_id").agg(F.count(F.lit(1)).alias("rejected")).withColumn("sheet", F.lit(name))
+        for name, raw in sheets.items()
+    ]
+    return reduce(DataFrame.unionByName, lost)
+
+
 @query
 def drop_blank_rows(spark, sf_dir):
     """Orders with their padding rows (every value missing) taken out again."""
@@ -401,7 +422,7 @@ def dedupe_quarantine(spark, sf_dir):
 
 def _sheet(spark: SparkSession, sf_dir: str, *columns) -> DataFrame:
     """A raw customer sheet with several rows per loan, from the order lines."""
-    return A.spread(_lines(spark, sf_dir)).select(
+    return _lines(spark, sf_dir).select(
         F.col("l_orderkey").cast("string").alias("Loan Id "), *columns
     )
 
@@ -499,7 +520,7 @@ def clean_nps(spark, sf_dir):
     lines = A.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_suppkey"
     )
-    raw = A.spread(lines).select(
+    raw = lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("Submission ID"),
         F.col("l_orderkey").cast("string").alias("Loan Id"),
         F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd").alias("Submitted at"),
@@ -610,30 +631,12 @@ def join_cardinality(spark, sf_dir):
 
 @query
 def canonical_columns(spark, sf_dir):
-    """Expected columns against the columns a snapshot really carries, as a table."""
+    """Expected columns that a snapshot does not have, by name; a value is not asked for."""
     credit = A.credit(spark, sf_dir)
-    present = credit.agg(*[F.count(F.col(c)).alias(c) for c in credit.columns]).unpivot(
-        [], credit.columns, "column_name", "filled"
-    )
-    expected = F.explode(
-        F.array(*[F.lit(c) for c in (*SETTINGS.expected_columns, "credit_expiry")])
-    )
-    # the expected names ride on the one-row aggregate, so both sides are a few rows
-    wanted = credit.agg(F.count(F.lit(1)).alias("rows")).select(expected.alias("column_name"))
-    return wanted.join(present.filter("filled > 0"), "column_name", "left_anti")
-
-
-# --- profiling ---------------------------------------------------------------------
-
-
-def _profiled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "orders": A.table(spark, sf_dir, "orders"),
-        "customer": A.table(spark, sf_dir, "customer"),
-        "events": A.table(spark, sf_dir, "events"),
-        "documents": A.table(spark, sf_dir, "documents"),
-        "nps_customers": A.customers(spark, sf_dir),
-    }
+    wanted = F.array(*[F.lit(c) for c in (*SETTINGS.expected_columns, "credit_expiry")])
+    missing = F.array_except(wanted, F.array(*[F.lit(c) for c in credit.columns]))
+    # one row per snapshot, so that a snapshot table without rows reports nothing
+    return credit.select("snapshot_date").distinct().select(F.explode(missing).alias("column_name")).distinct()
 
 
 @query

@@ -8,7 +8,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from creditloom.catalog.oracles import ORACLES
+from creditloom.catalog.queries import QUERIES
 from tools.compare import compare, connect
 
 WRITES = {"snapshot_reload", "sink_roundtrip", "views_roundtrip", "audit_rows"}
@@ -19,30 +21,30 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sf_dir, con, name):
-    assert compare(spark, con, queries()[name], oracle_sql()[name], sf_dir) == ""
+    assert compare(spark, con, QUERIES[name], ORACLES[name], sf_dir) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_rows(spark, sf_dir):
     assert entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_plans_scale(spark, sf_dir, name):
     """No all-pairs join and no Python in any plan; windows without a key only over KPI rows."""
-    text = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups", text)
     if "SinglePartition" in text and "Window" in text:
         assert "HashAggregate" in text
 
 
 def test_only_needed_columns_are_read(spark, sf_dir):
-    text = queries()["portfolio_health"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES["portfolio_health"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert "o_custkey" not in schema
     assert text.count("FileScan") == 1 and "Join" not in text
@@ -52,7 +54,7 @@ def test_hot_side_of_the_asof_join_can_be_split(spark, sf_dir):
     """Both join inputs are plain sorted shuffles, the shape adaptive skew handling needs."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        frame = queries()["credit_x_nps_asof"](spark, sf_dir)
+        frame = QUERIES["credit_x_nps_asof"](spark, sf_dir)
         frame.collect()
         text = frame._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in text
@@ -62,7 +64,7 @@ def test_hot_side_of_the_asof_join_can_be_split(spark, sf_dir):
 
 def test_parts_add_up(spark, sf_dir):
     """Sums over segments equal the snapshot totals; the as-of join keeps every submission."""
-    run = {n: [r.asDict() for r in queries()[n](spark, sf_dir).collect()] for n in (
+    run = {n: [r.asDict() for r in QUERIES[n](spark, sf_dir).collect()] for n in (
         "portfolio_health", "kpi_by_risk", "kpi_by_age_band", "nps_by_dpd_bucket", "nps_by_risk", "nps_bucket")}
     total = {r["snapshot_date"]: r["accounts"] for r in run["portfolio_health"]}
     for part in ("kpi_by_risk", "kpi_by_age_band"):
