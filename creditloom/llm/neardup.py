@@ -16,20 +16,23 @@ So every candidate pair is compared, ruled out by a bound, or already connected.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.graph import components
 from creditloom.llm.tables import stored
 from creditloom.llm.words import LOWER, mix, repeats, slices, span_hashes, utf8, windows, word_bounds
 
 COLLECTIONS = 12
 PER_COLLECTION = 2
+TABLES = list(combinations(range(COLLECTIONS), 2))
 SKETCH_BITS = 512
 SEEDS = mix(np.arange(1, COLLECTIONS * PER_COLLECTION + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
@@ -108,19 +111,25 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """node and set (sorted 64-bit hashes, as bytes) for the documents named in ``nodes``."""
-    schema = StructType([StructField("node", docs.schema["doc_id"].dataType), StructField("set", BinaryType())])
+    """node and set (sorted 64-bit hashes, as bytes) for the documents named in ``nodes``.
+
+    A few others, whose ids share a place of the bitmap, come along.
+    """
+    kind = docs.schema["doc_id"].dataType
+    schema = StructType([StructField("node", kind), StructField("set", BinaryType())])
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select(id_hash(F.col("node")).alias("h")), "h"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1_000_000):
+            found = batch.filter(pa.array(may_have(sent.value, batch.column("h").to_numpy())))
+            for part in slices(found, "text", 1_000_000):
                 sets, at = shingle_sets(*utf8(part.column("text")), size)
                 data = sets.tobytes()
                 cut = [data[8 * a : 8 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cut, pa.binary())], ["node", "set"])
 
-    chosen = docs.select("doc_id", "text").join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return chosen.mapInArrow(work, schema)
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", id_hash(F.col("doc_id")).alias("h"))
+    return rows.mapInArrow(work, schema)
 
 
 def common_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,13 +156,35 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.mapInArrow(common_counts, schema).filter(100 * F.col("common") >= percent * F.col("union")).select("a", "b").distinct()
 
 
+def table_keys(nodes: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """node, low, high, key: a row per table, named by its two collections.
+
+    With a bitmap, only keys that may be in it.
+    """
+    schema = StructType([
+        StructField("node", nodes.schema["node"].dataType), StructField("low", IntegerType()), StructField("high", IntegerType()), StructField("key", LongType()),
+    ])
+    sent = None if bits is None else nodes.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.asarray(TABLES, dtype=np.int32).T
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2000):
+                part = batch.slice(first, 2000)
+                halves = part.column("halves").flatten().to_numpy().view(np.uint64).reshape(-1, COLLECTIONS)
+                keys = mix(halves[:, low] + mix(halves[:, high] + np.arange(len(TABLES), dtype=np.uint64))).view(np.int64)
+                row, table = np.nonzero(np.ones(keys.shape, bool) if sent is None else may_have(sent.value, keys))
+                columns = [part.column("node").take(pa.array(row)), pa.array(low[table]), pa.array(high[table]), pa.array(keys[row, table])]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return nodes.select("node", "halves").mapInArrow(work, schema)
+
+
 def bucket_rows(nodes: DataFrame) -> DataFrame:
-    """key and node for every table key that two or more nodes share."""
-    pairs = list(combinations(range(COLLECTIONS), 2))
-    keys = F.array(*[F.xxhash64(F.lit(k), F.col("halves")[i], F.col("halves")[j]) for k, (i, j) in enumerate(pairs)])
-    rows = nodes.select("node", F.explode(keys).alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    return rows.join(shared, "key")
+    """Rows of ``table_keys`` for the keys that two or more nodes share, and their number."""
+    shared = table_keys(nodes).groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = stored(shared, "shared-keys")
+    return table_keys(nodes, bitmap(shared, "key")).join(shared, "key")
 
 
 def could_link(percent: int) -> Column:
@@ -163,8 +194,8 @@ def could_link(percent: int) -> Column:
     which the parities of two sets differ stands for an element that only one has.
     """
     n, m = F.col("x.n"), F.col("y.n")
-    words = SKETCH_BITS // 64
-    apart = sum((F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(1, words)), F.bit_count(F.col("x.sketch")[0].bitwiseXOR(F.col("y.sketch")[0])))
+    parts = [F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(SKETCH_BITS // 64)]
+    apart = reduce(lambda a, b: a + b, parts)
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
@@ -186,11 +217,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         ),
         "shingle-nodes",
     )
-    buckets = stored(bucket_rows(nodes), "shared-keys")
+    buckets = stored(bucket_rows(nodes), "buckets")
 
     meets = buckets.groupBy("node").agg(F.sum("members").alias("meets"))
     centres = buckets.join(meets, "node").groupBy("key").agg(F.max_by("node", F.struct("meets", "node")).alias("centre"))
-    starred = stored(buckets.select("key", "node").join(centres, "key"), "starred-keys")
+    starred = stored(buckets.drop("members").join(centres, "key"), "starred-keys")
     star = starred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     star = stored(star, "star-pairs")
     named = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
@@ -199,13 +230,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     joined = components(links)
 
     # what is left: pairs of a bucket in different components, one of them not linked to its centre
-    facts = nodes.select("node", "n", "sketch").join(joined, "node", "left").select("node", "n", "sketch", F.coalesce("component", "node").alias("component"))
+    facts = nodes.join(joined, "node", "left").select("node", "n", "sketch", F.coalesce("component", "node").alias("component"))
     held = (
         starred.join(links.select(F.col("a").alias("node"), F.col("b").alias("centre"), F.lit(True).alias("linked")), ["node", "centre"], "left")
-        .select("key", "node", (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("linked"), (F.col("node") == F.col("centre")).alias("is_centre"))
+        .select("key", "low", "high", "node", (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("linked"), (F.col("node") == F.col("centre")).alias("is_centre"))
     )
-    spread = held.join(facts.select("node", "component"), "node").groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_keys = spread.filter("low <> high").select("key")
+    spread = held.join(facts.select("node", "component"), "node").groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    open_keys = spread.filter("least <> most").select("key")
     held = stored(held.join(open_keys, "key", "left_semi").join(facts, "node"), "open-keys")
     x, y = held.filter("NOT linked").alias("x"), held.filter("NOT is_centre").alias("y")
     once = F.col("y.linked") | (F.col("x.node") < F.col("y.node"))
