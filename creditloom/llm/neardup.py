@@ -33,7 +33,7 @@ from creditloom.llm.words import LOWER, mix, repeats, slices, span_hashes, utf8,
 COLLECTIONS = 12
 PER_COLLECTION = 2
 TABLES = list(combinations(range(COLLECTIONS), 2))
-SKETCH_BITS = 512
+SKETCH_BITS = 1024
 SEEDS = mix(np.arange(1, COLLECTIONS * PER_COLLECTION + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
@@ -199,6 +199,12 @@ def could_link(percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
+def first_table() -> Column:
+    """Is the rows' table the first that x and y share? So a pair meets in one bucket only."""
+    agree = [F.when(F.col("x.high") >= c, (F.col("x.halves")[c] == F.col("y.halves")[c]).cast("int")).otherwise(0) for c in range(COLLECTIONS)]
+    return reduce(lambda a, b: a + b, agree) == 2
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -230,7 +236,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     joined = components(links)
 
     # what is left: pairs of a bucket in different components, one of them not linked to its centre
-    facts = nodes.join(joined, "node", "left").select("node", "n", "sketch", F.coalesce("component", "node").alias("component"))
+    facts = nodes.join(joined, "node", "left").select("node", "n", "sketch", "halves", F.coalesce("component", "node").alias("component"))
     held = (
         starred.join(links.select(F.col("a").alias("node"), F.col("b").alias("centre"), F.lit(True).alias("linked")), ["node", "centre"], "left")
         .select("key", "low", "high", "node", (F.coalesce("linked", F.lit(False)) | (F.col("node") == F.col("centre"))).alias("linked"), (F.col("node") == F.col("centre")).alias("is_centre"))
@@ -239,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     open_keys = spread.filter("least <> most").select("key")
     held = stored(held.join(open_keys, "key", "left_semi").join(facts, "node"), "open-keys")
     x, y = held.filter("NOT linked").alias("x"), held.filter("NOT is_centre").alias("y")
-    once = F.col("y.linked") | (F.col("x.node") < F.col("y.node"))
+    once = (F.col("y.linked") | (F.col("x.node") < F.col("y.node"))) & first_table()
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & once & could_link(percent))
     rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = stored(confirmed(rest, sets, percent), "other-links")
