@@ -9,17 +9,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.operators.dedupe import keep_latest
 from creditloom.settings import Settings
 
 SNAPSHOTS = ("1997-12-31", "1998-12-31", "1999-12-31", "2000-12-31", "2001-12-31")
 AS_OF = dt.date(2002, 3, 1)
 SETTINGS = Settings()
 
-NO_CUSTOMER_EVERY = 50  # every 50th loan has no customer record
+MISFILED_EVERY = 50  # every 50th customer record carries a loan id that no loan has
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +82,11 @@ def credit(
     )
 
 
+def customer_loan(order: Column) -> Column:
+    """The loan id on the customer record of an order; misfiled ones are negative."""
+    return F.when(order % MISFILED_EVERY == 0, -order).otherwise(order)
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order that has a customer record."""
     key = F.col("c_custkey")
@@ -97,9 +101,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("gender"),
         F.col("c_nationkey").alias("citizenship"),
     )
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % NO_CUSTOMER_EVERY != 0)
+    orders = table(spark, sf_dir, "orders")
     return orders.join(who, F.col("o_custkey") == key, "left").select(
-        F.col("o_orderkey").alias("loan_id"),
+        customer_loan(F.col("o_orderkey")).alias("loan_id"),
         F.to_date("o_orderdate").alias("sale_date"),
         "date_of_birth",
         "received",
@@ -118,9 +122,12 @@ def nps(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         *LINE_KEY, *LINE_TIES, "l_shipdate", "l_quantity"
     )
-    latest = keep_latest(lines, LINE_KEY, ["l_shipdate"], [*LINE_TIES, "l_quantity"])
-    return latest.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("submission_id"),
+    # line numbers repeat within an order, so a line's place among its equals is in its id
+    place = F.row_number().over(
+        Window.partitionBy(*LINE_KEY).orderBy(*[F.desc(c) for c in ("l_shipdate", *LINE_TIES, "l_quantity")])
+    )
+    return lines.withColumn("place", place).select(
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000 + F.col("place")).alias("submission_id"),
         F.col("l_orderkey").alias("loan_id"),
         F.to_date("l_shipdate").alias("submitted_at"),
         (F.col("l_quantity").cast("int") % 12).alias("nps_score"),

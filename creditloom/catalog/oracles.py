@@ -33,13 +33,13 @@ credit AS (
 
 CUSTOMERS = """
 customers AS (
-  SELECT o_orderkey AS loan_id, CAST(o_orderdate AS DATE) AS sale_date,
+  SELECT CASE WHEN o_orderkey % 50 = 0 THEN -o_orderkey ELSE o_orderkey END AS loan_id,
+         CAST(o_orderdate AS DATE) AS sale_date,
          CASE WHEN c_custkey % 5 <> 0
               THEN CAST(DATE '1935-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) AS DATE) END AS date_of_birth,
          CAST(abs(CAST(c_acctbal AS DECIMAL(18,2))) * 20 AS DECIMAL(20,2)) AS received,
          c_custkey % 13 AS duration, c_mktsegment AS gender, c_nationkey AS citizenship
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderkey % 50 <> 0)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 RISK = """
          CASE WHEN account_status_l1 IN ('Write Off', 'Blocked', 'Default', 'Lost') THEN 'Critical'
@@ -60,7 +60,7 @@ cfeat AS (
 
 FEATURES = f"""{CREDIT_FEATURES}, {CUSTOMERS},
 feat0 AS (
-  SELECT f.*, c.date_of_birth, c.received, c.duration, c.gender, c.citizenship,
+  SELECT f.*, c.loan_id AS customer_loan, c.date_of_birth, c.received, c.duration, c.gender, c.citizenship,
          c.sale_date AS customer_sale_date,
          date_diff('day', c.date_of_birth, f.snapshot_date) / 365.25::DOUBLE AS age0,
          CASE WHEN c.duration > 0 THEN CAST(c.received AS DOUBLE) / c.duration END AS avg_monthly_income
@@ -88,12 +88,12 @@ lines AS (
     ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
   FROM lineitem),
 nps AS (
-  SELECT l_orderkey * 10 + l_linenumber AS submission_id, l_orderkey AS loan_id,
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000 + rn AS submission_id, l_orderkey AS loan_id,
          CAST(l_shipdate AS DATE) AS submitted_at, CAST(l_quantity AS INTEGER) % 12 AS nps_score,
          CASE WHEN CAST(l_quantity AS INTEGER) % 12 <= 6 THEN 'Detractor'
               WHEN CAST(l_quantity AS INTEGER) % 12 <= 8 THEN 'Passive'
               WHEN CAST(l_quantity AS INTEGER) % 12 <= 10 THEN 'Promoter' END AS nps_bucket
-  FROM lines WHERE rn = 1)"""
+  FROM lines)"""
 
 ASOF = f"""{FEATURES}, {NPS},
 cxn0 AS (
@@ -516,7 +516,7 @@ ORACLES: dict[str, str] = {
              CASE WHEN (l_orderkey % 400 - 100) * 365 / 365.25::DOUBLE BETWEEN 0 AND 130
                   THEN ROUND((l_orderkey % 400 - 100) * 365 / 365.25::DOUBLE, 6) END AS age FROM lineitem""",
     "monthly_income_band": f"""WITH {FEATURES.replace('cfeat f LEFT JOIN customers c USING (loan_id)', 'customers c LEFT JOIN (SELECT * FROM cfeat WHERE snapshot_date = DATE ' + repr('2001-12-31') + ') f USING (loan_id)')}
-      SELECT loan_id, ROUND(avg_monthly_income, 6) AS avg_monthly_income,
+      SELECT customer_loan AS loan_id, ROUND(avg_monthly_income, 6) AS avg_monthly_income,
              income_band AS avg_monthly_income_band FROM feat""",
     "dpd_clean": f"""WITH {CREDIT}
       SELECT loan_id, snapshot_date, CASE WHEN loan_id % 17 = 0 OR loan_id % 19 = 0 THEN CAST(0 AS BIGINT)
@@ -595,7 +595,7 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS loan_id, o_orderstatus AS gender,
                array_to_string(list_transform(regexp_extract_all(lower(o_orderpriority), '[a-z]+|[^a-z]+'),
                    lambda w: upper(w[1]) || w[2:]), '') AS citizenship
-        FROM orders WHERE o_orderkey % 50 <> 0)
+        FROM orders)
       SELECT s.* EXCLUDE (return_date), g.citizenship, g.gender, d.date_of_birth, i.* EXCLUDE (loan_id)
       FROM sales s LEFT JOIN gender g USING (loan_id) LEFT JOIN dob d USING (loan_id)
            LEFT JOIN income i USING (loan_id)""",
