@@ -96,7 +96,7 @@ def asof_join_many(
     """As-of join for a right side with very many times per key; no pairs are formed.
 
     Both sides are merged by time within (key, slice), where ``slice_of`` is a
-    non-decreasing expression of column ``_time`` (a month, say): the last right
+    non-decreasing expression of column ``_time`` (a month, say) that is never null: the last right
     row seen so far is the match. Rows ahead of the first right row of their
     slice take the newest right row of the key's earlier slices. A slice, not a
     key, is the largest unit one task handles.
@@ -148,7 +148,8 @@ def asof_join_many(
     )
     joined = merged.join(
         carried,
-        (F.col("_k") == F.col("_ck")) & F.col("_slice").eqNullSafe(F.col("_cslice")),
+        # plain equality keeps the rows where the window has put them
+        (F.col("_k") == F.col("_ck")) & (F.col("_slice") == F.col("_cslice")),
         "left",
     ).withColumn("_match", F.coalesce("_seen", "_carried"))
     matched = joined.select(
