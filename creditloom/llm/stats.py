@@ -133,7 +133,7 @@ def crc_of_id(column: str = "doc_id") -> Column:
 
 
 def labelled_sample(rows: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """Rows with a 0/1 label, at most ``max_rows`` of them, chosen by a hash of the id.
+    """Rows with a 0/1 label, about ``max_rows`` and no more, chosen by a hash of the id.
 
     Ids with several labels take the larger; null ids and other labels take no part.
     """
@@ -141,4 +141,7 @@ def labelled_sample(rows: DataFrame, labels: DataFrame, label: str, max_rows: in
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     )
+    total = clean.count()
+    if total > max_rows:
+        clean = clean.filter(bucket(F.col("doc_id")) < max_rows / total)
     return rows.join(clean, "doc_id").orderBy(bucket(F.col("doc_id")), "doc_id").limit(max_rows)

@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     """Encodes all texts and writes them to the folder ``path`` in ascending doc_id order.
 
     Every text is followed by the id ``end``; a null text is that id alone. Null ids come
-    first; repeated ids are ordered by text. A segment is closed once it has
+    first; repeated ids are ordered by a hash of their texts. A segment is closed once it has
     ``segment_ids`` ids, so it holds that many plus one document at most.
     """
     schema = StructType([
@@ -164,7 +164,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
         if ends:
             yield close()
 
-    docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(work, schema).write.parquet(path)
+    # ranges are set from a sample of the keys, which holds no texts
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("turn"))
+    placed = keyed.repartitionByRange("doc_id", "turn").sortWithinPartitions("doc_id", "turn", "text")
+    placed.select("doc_id", "text").mapInArrow(work, schema).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
