@@ -49,17 +49,21 @@ def rows_sharing_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, match, "left_semi")
 
 
-def contested_rows(df: DataFrame, keys: Sequence[str], slices: int = 1024) -> DataFrame:
+def contested_rows(df: DataFrame, keys: Sequence[str], slice_rows: int = 100_000) -> DataFrame:
     """Rows whose key is on several rows, marked with the slice of the key they belong to.
 
-    Keys on one row cannot lose a ranking and are put aside here. The slice comes from
-    the row's content and its input split, so that exact copies part too; it is set
-    ahead of the join, which gathers a key. Any assignment gives the same result, and
-    a repeated task makes the same one.
+    Keys on one row cannot lose a ranking and are put aside here. A key gets a slice for
+    every ``slice_rows`` of its rows. A row's slice comes from its content and its input
+    split, so that exact copies part too; the number behind it is taken ahead of the
+    join, which gathers a key. Any assignment gives the same result, and a repeated task
+    makes the same one.
     """
     content = [c for c in df.columns if c not in keys]
-    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
-    return rows_sharing_key(df.withColumn("_slice", piece), keys)
+    repeated = repeated_keys(df, keys).select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("n").alias("_n"))
+    match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    rows = df.withColumn("_turn", F.xxhash64(F.spark_partition_id(), *content)).join(repeated, match)
+    piece = F.pmod("_turn", F.ceil(F.col("_n") / slice_rows)).cast("int")
+    return rows.select(*df.columns, piece.alias("_slice"))
 
 
 def losing_rows(

@@ -10,6 +10,7 @@ from creditloom.plans import cleaning
 from creditloom.plans.pipeline import Inputs, QualityGateError, Run, run_pipeline, select_stages
 from creditloom.settings import Settings
 from creditloom.sources import scans, sinks
+from creditloom.operators import kpis
 from creditloom.streaming.snapshots import ingest_new_snapshots
 
 S = Settings()
@@ -139,6 +140,18 @@ def test_stored_tables_join_without_a_shuffle(spark):
         spark.sql("DROP DATABASE wh CASCADE")
 
 
+def test_stored_facts_are_read_by_snapshot(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS wp")
+    try:
+        facts = spark.range(40).selectExpr("id AS loan_id", "date_add(DATE '2025-01-01', CAST(id % 4 AS INT)) AS snapshot_date")
+        sinks.register_tables(spark, {"fct": facts}, database="wp", partition_by={"fct": "snapshot_date"})
+        newest = kpis.latest_rows(spark.table("wp.fct"))
+        assert newest.count() == 10
+        assert "PartitionFilters: [isnotnull(snapshot_date" in newest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE wp CASCADE")
+
+
 # --- incremental pick-up -------------------------------------------------------------
 
 
