@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
-from creditloom.llm.langid import text_list
 from creditloom.llm.tables import stored
 from creditloom.llm.words import BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
 
@@ -119,7 +118,7 @@ def chosen_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", id_hash(F.col("doc_id")).alias("h")).mapInArrow(work, schema)
 
 
-def common_run(left: list[str], right: list[str], i: int, j: int) -> tuple[int, int]:
+def common_run(left: list, right: list, i: int, j: int) -> tuple[int, int]:
     """Start in ``left`` and length of the longest equal run that holds left[i] = right[j]."""
     if not (i < len(left) and j < len(right)) or left[i] != right[j]:
         return i, 0
@@ -132,6 +131,18 @@ def common_run(left: list[str], right: list[str], i: int, j: int) -> tuple[int,
     return i - low, low + high
 
 
+def common_runs(left: list, right: list, places: list[dict], least: int) -> list[tuple[int, int]]:
+    """All such runs of ``least`` words or more around the given places, each once."""
+    found: dict[tuple[int, int], int] = {}
+    for place in places:
+        i, j = place["pos"], place["other_pos"]
+        if not any(start <= i < start + n and shift == i - j for (start, shift), n in found.items()):
+            start, n = common_run(left, right, i, j)
+            if n:
+                found[start, i - j] = n
+    return sorted({(start, n) for (start, _), n in found.items() if n >= least})
+
+
 def confirm(wide: DataFrame, min_words: int) -> DataFrame:
     """doc_id, start, n_words and other_doc_id of the equal runs around given places."""
     kind = wide.schema["doc_id"].dataType
@@ -139,29 +150,20 @@ def confirm(wide: DataFrame, min_words: int) -> DataFrame:
         StructField("doc_id", kind), StructField("start", LongType()), StructField("n_words", LongType()), StructField("other_doc_id", kind),
     ])
 
-    def split(text: str) -> list[str]:
-        return [w for w in text.translate(SPACES).split(" ") if w]
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            places = zip(batch.column("doc_id").to_pylist(), batch.column("other").to_pylist(), batch.column("pos").to_pylist(), batch.column("other_pos").to_pylist(), strict=True)
-            last, own = None, []
-            for (doc, other, i, j), text, its in zip(places, text_list(batch.column("text")), text_list(batch.column("its")), strict=True):
-                if text is not last:
-                    last, own = text, split(text)
-                start, n = common_run(own, split(its), i, j)
-                if n >= min_words:
-                    rows.append((doc, start, n, other))
+            # bytes.split() parts at just the bytes that words are made without
+            texts, its = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("text", "its"))
+            keys = zip(batch.column("doc_id").to_pylist(), batch.column("other").to_pylist(), batch.column("places").to_pylist(), strict=True)
+            for (doc, other, places), own, theirs in zip(keys, texts, its, strict=True):
+                rows += [(doc, start, n, other) for start, n in common_runs(own.split(), theirs.split(), places, min_words)]
             if rows:
                 columns = list(zip(*rows, strict=True))
                 types = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), batch.schema.field("doc_id").type]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], schema.names)
 
-    return wide.select("doc_id", "other", "pos", "other_pos", "text", "its").mapInArrow(work, schema)
-
-
-SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
+    return wide.select("doc_id", "other", "places", "text", "its").mapInArrow(work, schema)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, least_run: int | None = None) -> DataFrame:
@@ -196,10 +198,11 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, lea
     spots = wanted.groupBy("digest", "doc_id").agg(F.min("pos").alias("other_pos")).withColumnRenamed("doc_id", "other")
     partner = F.explode(F.array_distinct(F.array("first_doc", "last_doc")))
     asked = wanted.select("digest", "doc_id", "pos", partner.alias("other")).filter("doc_id <> other")
-    placed = asked.join(spots, ["digest", "other"]).groupBy("doc_id", "other", (F.col("pos") - F.col("other_pos")).alias("shift")).agg(
-        F.min(F.struct("pos", "other_pos")).alias("p")
+    aligned = asked.join(spots, ["digest", "other"]).groupBy("doc_id", "other", (F.col("pos") - F.col("other_pos")).alias("shift")).agg(
+        F.collect_set(F.struct("pos", "other_pos")).alias("places")
     )
-    placed = stored(placed.select("doc_id", "other", "p.pos", "p.other_pos"), "alignments")
+    # the places of a pair are chunks of one document
+    placed = stored(aligned.groupBy("doc_id", "other").agg(F.flatten(F.collect_list("places")).alias("places")), "alignments")
 
     named = placed.select("doc_id").unionByName(placed.select(F.col("other").alias("doc_id"))).distinct()
     texts = stored(chosen_texts(docs, named), "passage-texts")

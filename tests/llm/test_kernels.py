@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from creditloom.llm.langid import classify, grams, letter_table
 from creditloom.llm.neardup import shingle_sets
 from creditloom.llm.packing import cut_lengths
-from creditloom.llm.passages import chunks, common_run
+from creditloom.llm.passages import chunks, common_run, common_runs
 from creditloom.llm.rule_ensemble import apply_rules, extract_rules, lasso_logistic
 from creditloom.llm.stats import count_statistics
 from creditloom.llm.token_files import Segment, encode_segment
@@ -145,6 +145,9 @@ def test_common_run():
     assert common_run(list("xabcdy"), list("abcdz"), 2, 1) == (1, 4)
     assert common_run(list("ab"), list("cd"), 0, 0) == (0, 0)
     assert common_run(["a"], [], 0, 0) == (0, 0)
+    places = [{"pos": 1, "other_pos": 0}, {"pos": 3, "other_pos": 2}, {"pos": 6, "other_pos": 6}]
+    assert common_runs(list("xabcdyq"), list("abcdzzq"), places, 2) == [(1, 4)]
+    assert common_runs(list("xabcdyq"), list("abcdzzq"), places, 1) == [(1, 4), (6, 1)]
 
 
 def test_trees_learn_and_keep_to_directions():

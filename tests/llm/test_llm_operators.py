@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from creditloom.llm.ann import PermutationIndex
+from creditloom.llm.bitmaps import bitmap, may_have
 from creditloom.llm.entries import LLM_ORACLES, LLM_QUERIES
 from creditloom.llm.graph import components
 from creditloom.llm.langid import identify_language, known_language
@@ -26,6 +27,7 @@ from creditloom.llm.secrets import mask_secrets, scan_secrets
 from creditloom.llm.token_files import read_token_files, write_token_files
 from creditloom.llm.tokens import TokenCoder, vocabulary_path
 from creditloom.session import scratch_dir
+from tools.compare import compare, connect
 
 from .conftest import DOCS, prose
 
@@ -48,6 +50,20 @@ def test_registered_names():
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(LLM_ORACLES))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    assert compare(spark, connect(sf_dir), LLM_QUERIES[name], LLM_ORACLES[name], sf_dir) == ""
+
+
+def test_bitmap_holds_every_hash(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("h"))
+    bits = bitmap(rows, "h")
+    inside = np.asarray([r.h for r in rows.collect()])
+    others = np.asarray([r.h for r in spark.range(5000, 10_000).select(F.xxhash64("id").alias("h")).collect()])
+    assert may_have(bits, inside).all() and may_have(bits, others).mean() < 0.01
+    assert not bitmap(rows.limit(0), "h").any()
+
+
 # 1: nearest neighbours
 
 
