@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 26  # 8 MB, whatever the input
+BITS = 1 << 25  # 4 MB, whatever the input
 MASK = BITS - 1
 
 

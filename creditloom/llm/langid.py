@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from creditloom.llm.stats import bucket, crc_of_id
-from creditloom.llm.tables import aside
+from creditloom.llm.tables import aside, small_batches
 from creditloom.llm.words import slices
 
 UNKNOWN = "und"
@@ -75,7 +75,7 @@ def count_grams(docs: DataFrame, bits: int) -> DataFrame:
         letters = letter_table()
         for batch in batches:
             sums: dict[str, np.ndarray] = {}
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 300_000):
                 ids, at = grams(text_list(part.column("text")), letters, bits)
                 langs = np.asarray(part.column("lang").to_pylist(), dtype=object)
                 own = np.repeat(langs, np.diff(at))
@@ -85,7 +85,7 @@ def count_grams(docs: DataFrame, bits: int) -> DataFrame:
                 full = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(full), pa.string()), pa.array(full), pa.array(counts[full])], ["lang", "gram", "n"])
 
-    return docs.select("lang", "text").mapInArrow(work, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return small_batches(docs).select("lang", "text").mapInArrow(work, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, max_rows: int = 20_000, bits: int = 14, smoothing: float = 0.5, max_languages: int = 256) -> tuple[list[str], np.ndarray]:
@@ -129,7 +129,7 @@ def identify_language(docs: DataFrame, held_out: Column | None = None, max_rows:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, logs = letter_table(), model.value
         for batch in batches:
-            for part in slices(batch, "text", 1_000_000):
+            for part in slices(batch, "text", 300_000):
                 ids, at = grams(text_list(part.column("text")), letters, bits)
                 best, score = classify(ids, at, logs)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names[best], pa.string()), pa.array(score)], [*part.schema.names, "lang_pred", "score"])

@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.graph import components
-from creditloom.llm.tables import stored
+from creditloom.llm.tables import small_batches, stored
 from creditloom.llm.words import LOWER, mix, repeats, slices, span_hashes, utf8, windows, word_bounds
 
 COLLECTIONS = 12
@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     lists(got["halves"], texts, got["full"]), lists(got["sketch"], texts, got["full"]),
                 ], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(work, schema)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, schema)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:

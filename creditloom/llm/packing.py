@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from creditloom.llm.tables import stored
+from creditloom.llm.tables import small_batches, stored
 from creditloom.llm.tokens import shared_coder, vocabulary_path
 from creditloom.llm.words import slices
 
@@ -85,7 +85,7 @@ def cut_documents(docs: DataFrame, capacity: int, short: int, vocabulary: str, e
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", 4_000_000):
+            for part in slices(batch, "text"):
                 ids, at = coder.encode_ending(part.column("text"), end)
                 data, rows = ids.astype("<u4").tobytes(), []
                 for doc, first, last in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -99,7 +99,7 @@ def cut_documents(docs: DataFrame, capacity: int, short: int, vocabulary: str, e
         if filler.open:
             yield frame(filler.rest())
 
-    return docs.select("doc_id", "text").mapInArrow(work, schema)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, schema)
 
 
 def pack(docs: DataFrame, capacity: int = 2048, short: int = 64, vocabulary: str | None = None, end: int = 1) -> DataFrame:

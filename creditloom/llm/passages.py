@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
-from creditloom.llm.tables import stored
+from creditloom.llm.tables import small_batches, stored
 from creditloom.llm.words import BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
 
 GEAR = (BYTE_CODES >> np.uint64(32)).astype(np.uint32)
@@ -82,7 +82,7 @@ def chunk_lists(docs: DataFrame, radius: int) -> DataFrame:
                 columns = [pa.array(digest.view(np.int64)), pa.array(start, pa.int32()), pa.array(size, pa.int32())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.ListArray.from_arrays(ends, c) for c in columns]], schema.names)
 
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema).filter(F.size("digests") > 0)
+    return small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema).filter(F.size("digests") > 0)
 
 
 def listed_chunks(lists: DataFrame, bits: np.ndarray) -> DataFrame:

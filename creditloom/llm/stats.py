@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from creditloom.llm.tables import small_batches
 from creditloom.llm.words import LOWER, line_bounds, per_text, repeats, slices, span_hashes, utf8, windows, word_bounds
 
 SYMBOLS = "#*$%&|<>"
@@ -97,7 +98,7 @@ def document_statistics(docs: DataFrame, window: int = 5) -> DataFrame:
                     [part.column("doc_id"), *[pa.array(counts[c], pa.int64()) for c in COUNTS]], ["doc_id", *COUNTS]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(work, schema)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(work, schema)
 
 
 def _share(part: str, whole: str) -> Column:

@@ -7,6 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from creditloom.session import scratch_dir
 
 
+BATCH_ROWS = "1000"
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The frame, in a session that hands texts to tasks a thousand rows at a time.
+
+    Spark's default of ten thousand is meant for narrow rows; of documents it makes
+    buffers of tens of megabytes, several to a task.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return docs
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

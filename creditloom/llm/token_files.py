@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from creditloom.llm.tables import small_batches
 from creditloom.llm.tokens import shared_coder, vocabulary_path
 from creditloom.llm.words import slices
 
@@ -153,7 +154,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", 4_000_000):
+            for part in slices(batch, "text"):
                 ids, at = coder.encode_ending(part.column("text"), end)
                 for k, name in enumerate(part.column("doc_id").to_pylist()):
                     names.append(name)
@@ -165,7 +166,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
             yield close()
 
     # ranges are set from a sample of the keys, which holds no texts
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("turn"))
+    keyed = small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("turn"))
     placed = keyed.repartitionByRange("doc_id", "turn").sortWithinPartitions("doc_id", "turn", "text")
     placed.select("doc_id", "text").mapInArrow(work, schema).write.parquet(path)
 
