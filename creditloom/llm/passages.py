@@ -3,8 +3,8 @@
 The gear hash of the last 32 bytes, read at the end of every word, cuts a text after the
 words where it is least among its neighbours; so chunks depend on what is near them
 only, and an insertion moves no cut beyond its surroundings. Chunks are deduplicated by
-digest. Runs of repeated chunks that could belong to a long enough passage are confirmed word
-by word against the first and the last document that have the chunk.
+digest. In documents with a run of repeated chunks every long enough run of words is hashed;
+documents that share one are compared word by word.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.tables import small_batches, stored
-from creditloom.llm.words import BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
+from creditloom.llm.words import BASE, BASE_INVERSE, BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
 
 GEAR = (BYTE_CODES >> np.uint64(32)).astype(np.uint32)
 
@@ -85,6 +85,41 @@ def chunk_lists(docs: DataFrame, radius: int) -> DataFrame:
     return small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema).filter(F.size("digests") > 0)
 
 
+def passage_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every run of ``size`` words within a text, and its text.
+
+    A run's polynomial is the difference of two prefix sums, shifted back to its own start.
+    """
+    starts, ends, words = word_bounds(data, at)
+    if len(starts) < size:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(words))
+    inside = owner[size - 1 :] == owner[: len(owner) - size + 1]
+    return word_runs(span_hashes(data, starts, ends), size)[inside], owner[: len(inside)][inside]
+
+
+def word_runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` words in a row, whatever texts they are of."""
+    powers = np.full(len(hashes) + 1, BASE, dtype=np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * powers[:-1], out=sums[1:])
+    powers.fill(BASE_INVERSE)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    return mix((sums[size:] - sums[:-size]) * powers[: len(hashes) - size + 1] + np.uint64(size))
+
+
+def distinct_per_text(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's hashes, each once."""
+    order = np.lexsort((hashes, owner))
+    owner, hashes = owner[order], hashes[order]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+    return owner[new], hashes[new]
+
+
 def listed_chunks(lists: DataFrame, bits: np.ndarray) -> DataFrame:
     """doc_id, turn, digest, pos and n of the chunks whose digests may be in the bitmap."""
     schema = StructType([
@@ -106,6 +141,42 @@ def listed_chunks(lists: DataFrame, bits: np.ndarray) -> DataFrame:
     return lists.select("doc_id", "digests", "starts", "sizes").mapInArrow(work, schema)
 
 
+def passage_rows(texts: DataFrame, min_words: int, bits: np.ndarray | None = None) -> DataFrame:
+    """digest and doc_id of every ``min_words`` words in a row, once per text; those that
+    may be in the bitmap, if one is given."""
+    schema = StructType([StructField("digest", LongType()), texts.schema["doc_id"]])
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                digest, owner = passage_hashes(*utf8(part.column("text")), min_words)
+                if sent.value is not None:
+                    pick = may_have(sent.value, digest)
+                    digest, owner = digest[pick], owner[pick]
+                owner, digest = distinct_per_text(owner, digest)
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(owner))], schema.names)
+
+    return small_batches(texts).select("doc_id", "text").mapInArrow(work, schema)
+
+
+def holders(rows: DataFrame) -> DataFrame:
+    """digest, n, first_doc and last_doc of the digests that two documents or more have."""
+    found = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    return found.filter("first_doc <> last_doc")
+
+
+def both_ways(held: DataFrame) -> DataFrame:
+    """doc_id and other: the first and the last holder, each beside the other."""
+    ends = F.array(*[F.struct(F.col(a).alias("doc_id"), F.col(b).alias("other")) for a, b in (("first_doc", "last_doc"), ("last_doc", "first_doc"))])
+    return held.select("first_doc", "last_doc").distinct().select(F.inline(ends))
+
+
+def between(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """doc_id and other: the first holder beside the holders that are not first or last."""
+    return rows.join(held, "digest").filter("doc_id <> first_doc AND doc_id <> last_doc").select("doc_id", F.col("first_doc").alias("other")).distinct()
+
+
 def chosen_texts(docs: DataFrame, named: DataFrame) -> DataFrame:
     """doc_id and text of the documents that ``named`` names, and of a few others."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap(named.select(id_hash(F.col("doc_id")).alias("h")), "h"))
@@ -132,19 +203,34 @@ def common_run(left: list, right: list, i: int, j: int) -> tuple[int, int]:
 
 
 def common_runs(left: list, right: list, places: list[dict], least: int) -> list[tuple[int, int]]:
-    """All such runs of ``least`` words or more around the given places, each once."""
-    found: dict[tuple[int, int], int] = {}
+    """Such runs of ``least`` words or more around the given places, which are in order.
+
+    A place whose next ``least`` words lie in a run that was found adds none.
+    """
+    found, reach = set(), 0
     for place in places:
         i, j = place["pos"], place["other_pos"]
-        if not any(start <= i < start + n and shift == i - j for (start, shift), n in found.items()):
+        if i + least > reach:
             start, n = common_run(left, right, i, j)
-            if n:
-                found[start, i - j] = n
-    return sorted({(start, n) for (start, _), n in found.items() if n >= least})
+            if n >= least:
+                found.add((start, n))
+                reach = max(reach, start + n)
+    return sorted(found)
+
+
+def shared_places(own: np.ndarray, theirs: np.ndarray) -> list[dict]:
+    """Where equal hashes begin to stand side by side: place in ``own``, first place in ``theirs``."""
+    order = np.argsort(theirs, kind="stable")
+    at = np.minimum(np.searchsorted(theirs[order], own), max(len(theirs) - 1, 0))
+    pos = np.flatnonzero(theirs[order][at] == own) if len(theirs) else np.zeros(0, np.int64)
+    other = order[at[pos]]
+    new = np.ones(len(pos), dtype=bool)
+    new[1:] = (np.diff(pos) != 1) | (np.diff(other) != 1)
+    return [{"pos": i, "other_pos": j} for i, j in zip(pos[new].tolist(), other[new].tolist(), strict=True)]
 
 
 def confirm(wide: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, start, n_words and other_doc_id of the equal runs around given places."""
+    """doc_id, start, n_words and other_doc_id of the equal runs of two texts."""
     kind = wide.schema["doc_id"].dataType
     schema = StructType([
         StructField("doc_id", kind), StructField("start", LongType()), StructField("n_words", LongType()), StructField("other_doc_id", kind),
@@ -153,28 +239,30 @@ def confirm(wide: DataFrame, min_words: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            # bytes.split() parts at just the bytes that words are made without
-            texts, its = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("text", "its"))
-            keys = zip(batch.column("doc_id").to_pylist(), batch.column("other").to_pylist(), batch.column("places").to_pylist(), strict=True)
-            for (doc, other, places), own, theirs in zip(keys, texts, its, strict=True):
-                rows += [(doc, start, n, other) for start, n in common_runs(own.split(), theirs.split(), places, min_words)]
+            for k in range(batch.num_rows):
+                part = batch.slice(k, 1)
+                places = shared_places(*[passage_hashes(*utf8(part.column(c)), min_words)[0] for c in ("text", "its")])
+                if places:
+                    # bytes.split() parts at just the bytes that words are made without
+                    own, theirs = (part.column(c).cast(pa.binary())[0].as_py().split() for c in ("text", "its"))
+                    rows += [(k, start, n) for start, n in common_runs(own, theirs, places, min_words)]
             if rows:
-                columns = list(zip(*rows, strict=True))
-                types = [batch.schema.field("doc_id").type, pa.int64(), pa.int64(), batch.schema.field("doc_id").type]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], schema.names)
+                at, start, n = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), start, n, batch.column("other").take(at)], schema.names)
 
-    return wide.select("doc_id", "other", "places", "text", "its").mapInArrow(work, schema)
+    return wide.select("doc_id", "other", "text", "its").mapInArrow(work, schema)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, least_run: int | None = None) -> DataFrame:
     """doc_id, start, n_words, other_doc_id: passages that another document has as well.
 
-    start counts words; n_words is at least ``min_words``. Looked at are runs of shared
-    chunks with ``least_run`` words or more, by default a third of ``min_words``: of a
-    passage of 50 words, 21 or more lie in shared chunks whatever surrounds it. A document that has a passage
-    is compared with the first and the last document sharing one of its chunks, so a
-    passage of many documents gives a row or two each, not one per pair. Documents
-    without such a passage have no row; null and empty texts and null ids take no part.
+    start counts words; n_words is at least ``min_words``. Looked at are documents with a
+    run of shared chunks of ``least_run`` words or more, by default a third of
+    ``min_words``. Every ``min_words`` words in a row of them that another one has lie in
+    a row of the result, whose whole run other_doc_id has. A document is compared with
+    the first one (the first with the last) that has such words, so a passage of many
+    documents gives a row or two each, not one per pair. Documents without such a
+    passage have no row; null and empty texts and null ids take no part.
     Rows with one doc_id are one document, and passages between them do not count. An
     empty table gives an empty result.
     """
@@ -182,30 +270,24 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, lea
     least_run = least_run if least_run is not None else min_words // 3
     pieces = lists.select("doc_id", F.explode("digests").alias("digest"))
     shared = pieces.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc <> last_doc")
-    shared = stored(shared, "shared-digests")
+    shared = stored(shared.select("digest"), "shared-digests")
     here = stored(listed_chunks(lists, bitmap(shared, "digest")).join(shared, "digest"), "shared-chunks")
 
     order = Window.partitionBy("doc_id").orderBy("turn")
     runs = here.select("doc_id", "turn", "n").distinct().withColumn("run", F.col("turn") - F.row_number().over(order))
-    long = (
-        runs.groupBy("doc_id", "run").agg(F.min("turn").alias("from"), F.max("turn").alias("to"), F.sum("n").alias("words"))
-        .filter(F.col("words") >= least_run).select(F.col("doc_id").alias("d"), "from", "to")
-    )
-    inside = (F.col("doc_id") == F.col("d")) & F.col("turn").between(F.col("from"), F.col("to"))
-    wanted = stored(here.join(long, inside, "left_semi"), "long-runs")
-
-    # a place in the first and in the last document of each digest, and the alignments with them
-    spots = wanted.groupBy("digest", "doc_id").agg(F.min("pos").alias("other_pos")).withColumnRenamed("doc_id", "other")
-    partner = F.explode(F.array_distinct(F.array("first_doc", "last_doc")))
-    asked = wanted.select("digest", "doc_id", "pos", partner.alias("other")).filter("doc_id <> other")
-    aligned = asked.join(spots, ["digest", "other"]).groupBy("doc_id", "other", (F.col("pos") - F.col("other_pos")).alias("shift")).agg(
-        F.collect_set(F.struct("pos", "other_pos")).alias("places")
-    )
-    # the places of a pair are chunks of one document
-    placed = stored(aligned.groupBy("doc_id", "other").agg(F.flatten(F.collect_list("places")).alias("places")), "alignments")
-
-    named = placed.select("doc_id").unionByName(placed.select(F.col("other").alias("doc_id"))).distinct()
+    long = runs.groupBy("doc_id", "run").agg(F.sum("n").alias("words")).filter(F.col("words") >= least_run).select("doc_id").distinct()
+    looked_at = stored(chosen_texts(docs, long), "long-run-texts")
+
+    held = stored(holders(passage_rows(looked_at, min_words)), "shared-passages")
+    many = held.filter("n > 2")
+    pairs = both_ways(held).unionByName(between(passage_rows(looked_at, min_words, bitmap(many, "digest")), many))
+    return passages_of_pairs(looked_at, pairs, min_words)
+
+
+def passages_of_pairs(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+    """The equal runs of the documents ``doc_id`` and ``other`` of each pair, each once."""
+    pairs = stored(pairs.distinct(), "pairs")
+    named = pairs.select("doc_id").unionByName(pairs.select(F.col("other").alias("doc_id"))).distinct()
     texts = stored(chosen_texts(docs, named), "passage-texts")
-    wide = placed.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("its")), "other")
-    found = confirm(wide, min_words)
-    return found.groupBy("doc_id", "start", "n_words").agg(F.min("other_doc_id").alias("other_doc_id"))
+    wide = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("its")), "other")
+    return confirm(wide, min_words).groupBy("doc_id", "start", "n_words").agg(F.min("other_doc_id").alias("other_doc_id"))

@@ -296,6 +296,40 @@ def test_passages_against_brute_force(spark):
         assert len(run) == r.n_words >= 50 and any(other[k : k + len(run)] == run for k in range(len(other)))
 
 
+def covered(rows, texts, n=50):
+    """The runs of n words that the rows hold, by document."""
+    return {(r.doc_id, tuple(texts[r.doc_id][k : k + n])) for r in rows for k in range(r.start, r.start + r.n_words - n + 1)}
+
+
+def brute_covered(rows, n=50):
+    texts = {r[0]: WORD.findall(r[1]) for r in rows}
+    owners = defaultdict(set)
+    for doc, words in texts.items():
+        for k in range(len(words) - n + 1):
+            owners[tuple(words[k : k + n])].add(doc)
+    return {(doc, run) for run, docs in owners.items() if len(docs) > 1 for doc in docs}
+
+
+def test_passages_whose_first_and_last_holders_lack_them(spark):
+    draw = random.Random(12)
+    a, b, c = (prose(draw, 20) for _ in range(3))
+    holds = {1: [a, b, c], 1000: [a, b, c], 2: [a + " " + b], 999: [a + " " + b], 3: [b + " " + c], 998: [b + " " + c], 500: [a + " " + b + " " + c], 501: [a + " " + b + " " + c]}
+    rows = [(k, " ".join(x + " " + prose(draw, 30) for x in [prose(draw, 30), *parts]), "en", "s", 0) for k, parts in holds.items()]
+    got = repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert {(r.doc_id, r.n_words, r.other_doc_id) for r in got} == {(500, 60, 501), (501, 60, 500)}
+
+
+def test_passages_cover_every_shared_run(spark):
+    draw = random.Random(13)
+    lines = [prose(draw, 17) for _ in range(12)]
+    rows = []
+    for k in range(150):
+        first, n = draw.randrange(9), draw.randint(1, 5)
+        rows.append((k, " ".join([prose(draw, 25), *lines[first : first + n], prose(draw, 25), *draw.choices(lines, k=2)]), "en", "s", 0))
+    got = repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert covered(got, {r[0]: WORD.findall(r[1]) for r in rows}) == brute_covered(rows)
+
+
 # 7: near-duplicates
 
 
