@@ -1,10 +1,14 @@
-"""Substring dedup by content-defined chunking with a gear rolling hash.
+"""Substring dedup: passages of enough words that two documents have.
 
-The gear hash of the last 32 bytes, read at the end of every word, cuts a text after the
-words where it is least among its neighbours; so chunks depend on what is near them
-only, and an insertion moves no cut beyond its surroundings. Chunks are deduplicated by
-digest. In documents with a run of repeated chunks every long enough run of words is hashed;
-documents that share one are compared word by word.
+Every passage of ``min_words`` words has an anchor, the least hash of the shorter runs of
+words in it. It depends on the passage's words only, so documents that share a passage
+share its anchor, whatever surrounds it and however often its words repeat. Documents
+that are alone with an anchor are compared at once; where more have it, its passages
+are hashed too. Documents that share one are compared word by word.
+
+``chunks`` cuts a text by a gear rolling hash, read at the end of every word: after the
+words where it is least among its neighbours. Chunks depend on what is near them only,
+but how near is a matter of the words; no passage is found or left by them.
 """
 
 from __future__ import annotations
@@ -13,9 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.tables import small_batches, stored
@@ -64,38 +68,29 @@ def chunks(data: np.ndarray, at: np.ndarray, radius: int) -> tuple[np.ndarray, n
     return digest, size, np.searchsorted(begin, words)
 
 
-def chunk_lists(docs: DataFrame, radius: int) -> DataFrame:
-    """doc_id, digests, starts and sizes: one row per text with a word, its chunks in order."""
-    schema = StructType([
-        StructField("doc_id", docs.schema["doc_id"].dataType), StructField("digests", ArrayType(LongType())),
-        StructField("starts", ArrayType(IntegerType())), StructField("sizes", ArrayType(IntegerType())),
-    ])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                digest, size, bounds = chunks(*utf8(part.column("text")), radius)
-                ends = pa.array(bounds, pa.int32())
-                count = np.diff(bounds)
-                before = np.cumsum(size) - size
-                start = before - np.repeat(before[np.minimum(bounds[:-1], len(before) - 1)], count) if len(size) else before
-                columns = [pa.array(digest.view(np.int64)), pa.array(start, pa.int32()), pa.array(size, pa.int32())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.ListArray.from_arrays(ends, c) for c in columns]], schema.names)
-
-    return small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema).filter(F.size("digests") > 0)
-
+def passage_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and anchor of every run of ``size`` words within a text, and its text.
 
-def passage_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of ``size`` words within a text, and its text.
-
-    A run's polynomial is the difference of two prefix sums, shifted back to its own start.
+    The anchor is the least hash of the runs of size - size // 2 + 1 words in it (of the
+    whole, if size is 1).
     """
     starts, ends, words = word_bounds(data, at)
     if len(starts) < size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(words))
     inside = owner[size - 1 :] == owner[: len(owner) - size + 1]
-    return word_runs(span_hashes(data, starts, ends), size)[inside], owner[: len(inside)][inside]
+    hashes, among = span_hashes(data, starts, ends), max(size // 2, 1)
+    anchor = least_of(word_runs(hashes, size - among + 1), among)
+    return word_runs(hashes, size)[inside], anchor[inside], owner[: len(inside)][inside]
+
+
+def least_of(x: np.ndarray, among: int) -> np.ndarray:
+    """The least of every ``among`` items in a row, from those of 1, 2, 4, ... items."""
+    span = 1
+    while span < among:
+        step = min(span, among - span)
+        x, span = np.minimum(x[:-step], x[step:]), span + step
+    return x
 
 
 def word_runs(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -120,44 +115,31 @@ def distinct_per_text(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray
     return owner[new], hashes[new]
 
 
-def listed_chunks(lists: DataFrame, bits: np.ndarray) -> DataFrame:
-    """doc_id, turn, digest, pos and n of the chunks whose digests may be in the bitmap."""
-    schema = StructType([
-        lists.schema["doc_id"], StructField("turn", IntegerType()), StructField("digest", LongType()), StructField("pos", IntegerType()), StructField("n", IntegerType()),
-    ])
-    sent = lists.sparkSession.sparkContext.broadcast(bits)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                count = part.column("digests").value_lengths().to_numpy()
-                row, turn = np.repeat(np.arange(len(count)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                digest, pos, n = (part.column(c).flatten().to_numpy() for c in ("digests", "starts", "sizes"))
-                pick = np.flatnonzero(may_have(sent.value, digest))
-                columns = [part.column("doc_id").take(pa.array(row[pick])), *[pa.array(x[pick], t) for x, t in ((turn, pa.int32()), (digest, pa.int64()), (pos, pa.int32()), (n, pa.int32()))]]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return lists.select("doc_id", "digests", "starts", "sizes").mapInArrow(work, schema)
+def digest_rows(docs: DataFrame, min_words: int, anchors: np.ndarray | None = None, passages: np.ndarray | None = None) -> DataFrame:
+    """digest and doc_id, once per text: the anchors of its passages of ``min_words`` words.
 
-
-def passage_rows(texts: DataFrame, min_words: int, bits: np.ndarray | None = None) -> DataFrame:
-    """digest and doc_id of every ``min_words`` words in a row, once per text; those that
-    may be in the bitmap, if one is given."""
-    schema = StructType([StructField("digest", LongType()), texts.schema["doc_id"]])
-    sent = texts.sparkSession.sparkContext.broadcast(bits)
+    With a bitmap of anchors instead the passages whose anchors may be in it, and of those
+    the ones that may be in the bitmap ``passages``, if that is given too.
+    """
+    schema = StructType([StructField("digest", LongType()), docs.schema["doc_id"]])
+    sent = docs.sparkSession.sparkContext.broadcast((anchors, passages))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, passages = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
-                digest, owner = passage_hashes(*utf8(part.column("text")), min_words)
-                if sent.value is not None:
-                    pick = may_have(sent.value, digest)
-                    digest, owner = digest[pick], owner[pick]
-                owner, digest = distinct_per_text(owner, digest)
+                digest, anchor, owner = passage_hashes(*utf8(part.column("text")), min_words)
+                if anchors is None:
+                    pick, digest = np.ones(len(anchor), dtype=bool), anchor
+                    pick[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
+                else:
+                    pick = may_have(anchors, anchor)
+                    if passages is not None:
+                        pick &= may_have(passages, digest)
+                owner, digest = distinct_per_text(owner[pick], digest[pick])
                 yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(owner))], schema.names)
 
-    return small_batches(texts).select("doc_id", "text").mapInArrow(work, schema)
+    return small_batches(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(work, schema)
 
 
 def holders(rows: DataFrame) -> DataFrame:
@@ -230,64 +212,64 @@ def shared_places(own: np.ndarray, theirs: np.ndarray) -> list[dict]:
 
 
 def confirm(wide: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, start, n_words and other_doc_id of the equal runs of two texts."""
-    kind = wide.schema["doc_id"].dataType
+    """doc_id, start, n_words and other_doc_id of the equal runs of two texts, for those that ask."""
+    kind = wide.schema["low"].dataType
     schema = StructType([
         StructField("doc_id", kind), StructField("start", LongType()), StructField("n_words", LongType()), StructField("other_doc_id", kind),
     ])
+    sides = ("low", "high")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows: dict[str, list] = {side: [] for side in sides}
             for k in range(batch.num_rows):
-                part = batch.slice(k, 1)
-                places = shared_places(*[passage_hashes(*utf8(part.column(c)), min_words)[0] for c in ("text", "its")])
-                if places:
-                    # bytes.split() parts at just the bytes that words are made without
-                    own, theirs = (part.column(c).cast(pa.binary())[0].as_py().split() for c in ("text", "its"))
-                    rows += [(k, start, n) for start, n in common_runs(own, theirs, places, min_words)]
-            if rows:
-                at, start, n = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), start, n, batch.column("other").take(at)], schema.names)
-
-    return wide.select("doc_id", "other", "text", "its").mapInArrow(work, schema)
-
-
-def repeated_passages(docs: DataFrame, min_words: int = 50, radius: int = 3, least_run: int | None = None) -> DataFrame:
+                texts = [batch.column(f"{side}_text").slice(k, 1) for side in sides]
+                hashes = [passage_hashes(*utf8(text), min_words)[0] for text in texts]
+                words: list = []
+                for side, turn in (("low", 1), ("high", -1)):
+                    places = shared_places(*hashes[::turn]) if batch.column(f"{side}_asks")[k].as_py() else []
+                    if places:
+                        # bytes.split() parts at just the bytes that words are made without
+                        words = words or [text.cast(pa.binary())[0].as_py().split() for text in texts]
+                        rows[side] += [(k, start, n) for start, n in common_runs(*words[::turn], places, min_words)]
+            for side, other in (sides, sides[::-1]):
+                if rows[side]:
+                    at, start, n = (pa.array(c, pa.int64()) for c in zip(*rows[side], strict=True))
+                    yield pa.RecordBatch.from_arrays([batch.column(side).take(at), start, n, batch.column(other).take(at)], schema.names)
+
+    return wide.select("low", "high", "low_asks", "high_asks", "low_text", "high_text").mapInArrow(work, schema)
+
+
+def repeated_passages(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """doc_id, start, n_words, other_doc_id: passages that another document has as well.
 
-    start counts words; n_words is at least ``min_words``. Looked at are documents with a
-    run of shared chunks of ``least_run`` words or more, by default a third of
-    ``min_words``. Every ``min_words`` words in a row of them that another one has lie in
-    a row of the result, whose whole run other_doc_id has. A document is compared with
-    the first one (the first with the last) that has such words, so a passage of many
-    documents gives a row or two each, not one per pair. Documents without such a
+    start counts words; n_words is at least ``min_words``. Every ``min_words`` words in a
+    row that another document has lie in a row of the result, whose whole run
+    other_doc_id has. A document is compared with the first one (the first with the
+    last) that has such words, so a passage of many documents gives a row or two each,
+    not one per pair. Documents without such a
     passage have no row; null and empty texts and null ids take no part.
     Rows with one doc_id are one document, and passages between them do not count. An
     empty table gives an empty result.
     """
-    lists = stored(chunk_lists(docs, radius), "chunk-lists")
-    least_run = least_run if least_run is not None else min_words // 3
-    pieces = lists.select("doc_id", F.explode("digests").alias("digest"))
-    shared = pieces.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc <> last_doc")
-    shared = stored(shared.select("digest"), "shared-digests")
-    here = stored(listed_chunks(lists, bitmap(shared, "digest")).join(shared, "digest"), "shared-chunks")
-
-    order = Window.partitionBy("doc_id").orderBy("turn")
-    runs = here.select("doc_id", "turn", "n").distinct().withColumn("run", F.col("turn") - F.row_number().over(order))
-    long = runs.groupBy("doc_id", "run").agg(F.sum("n").alias("words")).filter(F.col("words") >= least_run).select("doc_id").distinct()
-    looked_at = stored(chosen_texts(docs, long), "long-run-texts")
-
-    held = stored(holders(passage_rows(looked_at, min_words)), "shared-passages")
+    shared = stored(holders(digest_rows(docs, min_words)), "shared-anchors")
+    # two documents that are alone with an anchor can only have its passages from each other
+    anchors = bitmap(shared.filter("n > 2"), "digest")
+    held = stored(holders(digest_rows(docs, min_words, anchors)), "shared-passages")
     many = held.filter("n > 2")
-    pairs = both_ways(held).unionByName(between(passage_rows(looked_at, min_words, bitmap(many, "digest")), many))
-    return passages_of_pairs(looked_at, pairs, min_words)
+    inner = between(digest_rows(docs, min_words, anchors, bitmap(many, "digest")), many)
+    pairs = both_ways(shared.filter("n = 2")).unionByName(both_ways(held)).unionByName(inner)
+    return passages_of_pairs(docs, pairs, min_words)
 
 
 def passages_of_pairs(docs: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
     """The equal runs of the documents ``doc_id`` and ``other`` of each pair, each once."""
-    pairs = stored(pairs.distinct(), "pairs")
-    named = pairs.select("doc_id").unionByName(pairs.select(F.col("other").alias("doc_id"))).distinct()
+    ends = {"low": F.least("doc_id", "other"), "high": F.greatest("doc_id", "other")}
+    asks = [F.bool_or(F.col("doc_id") == end).alias(f"{side}_asks") for side, end in ends.items()]
+    # a pair that is asked for from both sides reads its texts once
+    pairs = stored(pairs.groupBy(*[end.alias(side) for side, end in ends.items()]).agg(*asks), "pairs")
+    named = pairs.select(F.explode(F.array("low", "high")).alias("doc_id")).distinct()
     texts = stored(chosen_texts(docs, named), "passage-texts")
-    wide = pairs.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("text").alias("its")), "other")
-    return confirm(wide, min_words).groupBy("doc_id", "start", "n_words").agg(F.min("other_doc_id").alias("other_doc_id"))
+    for side in ("high", "low"):
+        pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"{side}_text")), side)
+    return confirm(pairs, min_words).groupBy("doc_id", "start", "n_words").agg(F.min("other_doc_id").alias("other_doc_id"))

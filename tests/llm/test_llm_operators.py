@@ -330,6 +330,18 @@ def test_passages_cover_every_shared_run(spark):
     assert covered(got, {r[0]: WORD.findall(r[1]) for r in rows}) == brute_covered(rows)
 
 
+@pytest.mark.parametrize("passage", ["0", "yes no", "- | 0", " ".join("abcdefghijklmnopqrstuvwxyz"[k * k % 26] for k in range(26))])
+@pytest.mark.parametrize("joint", [" ", "\n  "])
+def test_periodic_and_short_words_in_other_surroundings(spark, passage, joint):
+    draw = random.Random(14)
+    words = (passage.split() * 90)[:90]
+    texts = [[*prose(draw, 40).split(), *words[:n], *prose(draw, 40).split()] for n in (50, 63, 90, 49)]
+    rows = [(k, (joint if k == 1 else " ").join(t), "en", "s", 0) for k, t in enumerate(texts)]
+    got = repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert covered(got, dict(enumerate(texts))) == brute_covered(rows)
+    assert {r.doc_id for r in got} == {0, 1, 2}
+
+
 # 7: near-duplicates
 
 
