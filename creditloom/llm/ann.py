@@ -46,13 +46,16 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
-def choose_pivots(rows: DataFrame, total: int, pivots: int) -> np.ndarray:
+def choose_pivots(rows: DataFrame, pivots: int) -> np.ndarray:
     """Up to ``pivots`` different vectors, those least by a hash of their components.
 
-    Only a share of the table that holds a few times as many different ones is looked at.
+    The hashes of all different vectors compete; each task sends its least ones only.
     """
-    turn = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = rows.select("vec").filter(turn < 8.0 * pivots / max(total, 1)).distinct().orderBy(F.xxhash64("vec"), "vec").limit(pivots)
+    turn = F.xxhash64("vec")
+    least = rows.select(turn.alias("turn")).distinct().orderBy("turn").limit(pivots).collect()
+    if not least:
+        return np.zeros((0, 0))
+    some = rows.select("vec").filter(turn <= least[-1]["turn"]).distinct().orderBy(turn, "vec").limit(pivots)
     return np.asarray([r[0] for r in some.collect()], dtype=float)
 
 
@@ -67,7 +70,7 @@ class PermutationIndex:
         rows = stored(usable(vectors), "usable-vectors")
         self.spark, self.total = vectors.sparkSession, rows.count()
         self.blocks = max(1, -(-self.total // block_rows))
-        chosen = choose_pivots(rows, self.total, pivots)
+        chosen = choose_pivots(rows, pivots)
         self.pivots, self.listed = len(chosen), min(listed, len(chosen))
         self.rows = rows if not len(chosen) else stored(self._ordered(rows, chosen), "permutation-index")
 

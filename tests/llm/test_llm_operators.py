@@ -106,6 +106,14 @@ def test_search_recall_and_equal_vectors(spark):
     assert [v for v, _ in got[2050]] == [0, 2000, 2001, 2002, 2003]
 
 
+def test_pivots_of_a_table_of_many_copies(spark):
+    rows = spark.range(20_000).select("id", F.expr("transform(sequence(1, 4), k -> sin(k * (id % 200 + 1)))").alias("embedding")).withColumnRenamed("id", "vec_id")
+    index = PermutationIndex(rows)
+    assert index.pivots == 200
+    found = index.search(index.rows.filter("vec_id < 3")).collect()
+    assert len(found) == 15 and all(r.vec_id % 200 == r.query_id and r.score > 1 - 1e-9 for r in found)
+
+
 # 2 and 6: quality
 
 
