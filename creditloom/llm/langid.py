@@ -88,21 +88,36 @@ def count_grams(docs: DataFrame, bits: int) -> DataFrame:
     return small_batches(docs).select("lang", "text").mapInArrow(work, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def equal_share(sizes: list[int], total: int) -> float:
+    """The limit at which sizes, cut down to it, sum to ``total``."""
+    left = float(total)
+    for k, size in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - k)
+        if size >= share:
+            return share
+        left -= size
+    return float(max(sizes, default=0))
+
+
 def fit(docs: DataFrame, max_rows: int = 20_000, bits: int = 14, smoothing: float = 0.5, max_languages: int = 256) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities by bucket.
 
     Learned from about ``max_rows`` rows with text and language, chosen by a hash of
-    the id (all, when there are fewer). The matrix has at most ``max_languages`` times
+    the id (all, when there are fewer): of every language as many, or all it has, and at
+    least the row with the least hash. The matrix has at most ``max_languages`` times
     2^``bits`` cells; more languages than that are an error.
     """
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    total = rows.select("lang").count()
-    if total > max_rows:
-        rows = rows.filter(bucket(F.col("doc_id"), 7) < max_rows / total)
-    counts = count_grams(rows, bits)
-    langs = sorted(r[0] for r in rows.select("lang").distinct().limit(max_languages + 1).collect())
+    turn = bucket(F.col("doc_id"), 7)
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("least")).limit(max_languages + 1).collect()
+    langs = sorted(r["lang"] for r in found)
     if len(langs) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    if sum(r["n"] for r in found) > max_rows:
+        share = equal_share([r["n"] for r in found], max_rows)
+        bounds = [F.lit(x) for r in found for x in (r["lang"], max(share / r["n"], r["least"]))]
+        rows = rows.filter(turn <= F.create_map(*bounds)[F.col("lang")])
+    counts = count_grams(rows, bits)
     table = counts.toPandas() if langs else None
     matrix = np.full((len(langs), 1 << bits), smoothing)
     if table is not None and len(table):

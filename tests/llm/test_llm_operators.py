@@ -16,7 +16,7 @@ from creditloom.llm.ann import PermutationIndex
 from creditloom.llm.bitmaps import bitmap, may_have
 from creditloom.llm.entries import LLM_ORACLES, LLM_QUERIES
 from creditloom.llm.graph import components
-from creditloom.llm.langid import identify_language, known_language
+from creditloom.llm.langid import fit, identify_language, known_language
 from creditloom.llm.mixing import mix, mixed_documents
 from creditloom.llm.neardup import near_duplicates, without_near_duplicates
 from creditloom.llm.packing import pack
@@ -426,6 +426,16 @@ def test_language_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert {r.lang_pred for r in identify_language(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned(spark):
+    draw = random.Random(15)
+    rows = [(k, prose(draw, 5), "en" if k % 2 else "fr", "s", 0) for k in range(600)]
+    rows += [(600 + k, prose(draw, 5), f"r{k:02}", "s", 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert fit(docs, max_rows=60)[0] == sorted({r[2] for r in rows})
+    same = docs.filter("lang IN ('en', 'r00', 'r01')").withColumn("doc_id", F.lit(None).cast("bigint"))
+    assert fit(same, max_rows=2)[0] == ["en", "r00", "r01"]
+
+
 def test_language_of_held_out_documents(spark, sf_dir):
     got = LLM_QUERIES["op8_language_id"](spark, sf_dir).filter("held_out").join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.95
