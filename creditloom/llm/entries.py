@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm.ann import PermutationIndex
+from creditloom.llm.chat import canonical_turns, chat_digests, format_chats
+from creditloom.llm.divergence import audit
 from creditloom.llm.langid import identify_language
 from creditloom.llm.mixing import mix
 from creditloom.llm.neardup import near_duplicates
 from creditloom.llm.packing import pack
 from creditloom.llm.passages import repeated_passages
 from creditloom.llm.quality_rules import quality_rules
+from creditloom.llm.resampling import resample
 from creditloom.llm.rule_ensemble import classify_quality
 from creditloom.llm.secrets import BASE_KINDS, joined, scan_secrets
-from creditloom.llm.tables import table
+from creditloom.llm.tables import stored, table
 from creditloom.llm.token_files import read_token_files, write_token_files
 from creditloom.session import scratch_dir
 
@@ -75,6 +78,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    formatted = stored(format_chats(canonical_turns(rows.unionByName(more))), "chats")
+    return chat_digests(formatted)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 LLM_QUERIES = {
     "op1_permutation_index": op1_permutation_index,
     "op2_rule_ensemble": op2_rule_ensemble,
@@ -86,6 +106,9 @@ LLM_QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
+    "op11_chat_formatting": op11_chat_formatting,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # Exact links by shared shingles and their closure, for the registered near-duplicate query.
@@ -118,4 +141,61 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.d
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached ON a = d.doc_id
 """
 
-LLM_ORACLES: dict[str, str] = {"op7_near_duplicates": OP7_SQL}
+# The digests of each conversation's turns. Escaping adds a character per backslash and control string.
+OP11_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, 20 + length(role) + length(replace(replace(replace(replace(text, '\\', '\\\\'), '<turn>', '<_turn>'), '<text>', '<_text>'), '</turn>', '<_/turn>')) AS chars
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+# Dense: each kept term of a language for each of its groups.
+OP12_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), counted AS (
+  SELECT d, lang, source, term, count(*) AS n FROM (SELECT d, lang, source, unnest(w) AS term FROM docs) GROUP BY ALL
+), terms AS (
+  SELECT lang, term, sum(n) AS n FROM counted GROUP BY ALL HAVING count(*) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM terms GROUP BY lang
+), counts AS (
+  SELECT c.lang, c.source, c.term, sum(c.n) AS n FROM counted c JOIN terms t ON c.lang = t.lang AND c.term = t.term GROUP BY ALL
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), shares AS (
+  SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.total, 0) + l.v) AS p,
+    1 + (1000000000::HUGEINT * (t.n + 1)) // (l.total + l.v) AS lang_p
+  FROM groups g JOIN terms t ON g.lang = t.lang JOIN langs l ON g.lang = l.lang
+  LEFT JOIN totals s ON g.lang = s.lang AND g.source = s.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - lang_p) * (p - lang_p)) // lang_p AS BIGINT) FROM shares WHERE n > 0 AND p > lang_p
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found
+)
+SELECT lang, source, part, item, value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= 200
+"""
+
+LLM_ORACLES: dict[str, str] = {"op7_near_duplicates": OP7_SQL, "op11_chat_formatting": OP11_SQL, "op12_source_divergence": OP12_SQL}

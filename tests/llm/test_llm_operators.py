@@ -46,7 +46,7 @@ def labels(spark):
 
 
 def test_registered_names():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
