@@ -2,6 +2,8 @@
 
 import os
 import re
+import shutil
+import subprocess
 import sys
 
 import pytest
@@ -30,6 +32,31 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+@pytest.mark.parametrize("gone", [("creditloom/llm", "tests/llm"), ("creditloom/llm", "tests/llm", "corpus_pipeline.py"), ("corpus_pipeline.py",)])
+def test_queries_without_the_corpus_operators(tmp_path, gone):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    left_out = {os.path.join(root, g) for g in gone}
+
+    def skip(folder, names):
+        return [n for n in names if os.path.join(folder, n) in left_out or n in (".git", "__pycache__")]
+
+    shutil.copytree(root, tmp_path / "copy", ignore=skip)
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries()))"], cwd=tmp_path / "copy", capture_output=True, text=True)
+    names = set(eval(run.stdout)) if run.returncode == 0 else run.stderr
+    assert set(QUERIES) <= names
+    installed = os.path.isdir(os.path.join(root, "creditloom", "llm"))
+    assert any(n.startswith("op") for n in names) == (installed and "creditloom/llm" not in gone)
+
+
+@pytest.mark.skipif(not os.path.isdir(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "creditloom", "llm")), reason="not installed")
+def test_a_broken_corpus_module_is_an_error(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(root, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "__pycache__"))
+    os.replace(tmp_path / "copy/creditloom/llm/words.py", tmp_path / "copy/creditloom/llm/wordz.py")
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__"], cwd=tmp_path / "copy", capture_output=True, text=True)
+    assert "No module named 'creditloom.llm.words'" in run.stderr
+
+
 def test_entry_has_rows(spark, sf_dir):
     assert entry(spark).count() == 5
 
