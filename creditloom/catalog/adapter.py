@@ -7,6 +7,7 @@ same in any SQL engine. See FIXTURES.md, section 4.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -113,6 +114,37 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_files(rows: DataFrame, name: str, folder: str) -> None:
+    """Writes rows as CSV files named by the text column ``name``, as another system would leave them.
+
+    Spark names its files itself, so they are written elsewhere and moved. A name gets as many
+    files as the rows have partitions with it; all but the first have a number before the suffix.
+    """
+    spark = rows.sparkSession
+    draft = f"{folder}-draft-{uuid.uuid4().hex[:8]}"
+    rows.write.partitionBy(name).option("header", True).option("escape", '"').csv(draft)
+    jvm, hadoop = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    files = jvm.Path(draft).getFileSystem(hadoop)
+    files.mkdirs(jvm.Path(folder))
+    for value in files.listStatus(jvm.Path(draft)):
+        if not value.isDirectory():
+            continue
+        title = value.getPath().getName().split("=", 1)[1]
+        parts = [p.getPath() for p in files.listStatus(value.getPath())]
+        for k, part in enumerate(sorted((p for p in parts if p.getName().startswith("part-")), key=str)):
+            stem, dot, suffix = title.rpartition(".")
+            target = jvm.Path(f"{folder}/{stem}{f' {k + 1}' if k else ''}{dot}{suffix}")
+            files.delete(target, False)
+            files.rename(part, target)
+
+
+def delete_files(spark: SparkSession, glob: str) -> None:
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(glob).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(jvm.Path(glob)):
+        files.delete(found.getPath(), False)
+
+
 LINE_KEY = ("l_orderkey", "l_linenumber")
 LINE_TIES = ("l_partkey", "l_suppkey", "l_extendedprice")
 

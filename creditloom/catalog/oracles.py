@@ -560,6 +560,24 @@ ORACLES: dict[str, str] = {
       SELECT * EXCLUDE (kind) FROM typed WHERE kind = 0""",
     "credit_quarantine": f"""WITH {RAW_CREDIT}
       SELECT loan_id, snapshot_date, max_payment_date, balance FROM typed WHERE kind = 1""",
+    "csv_snapshot_scan": f"""WITH {RAW_CREDIT}
+      SELECT * EXCLUDE (kind), CASE WHEN snapshot_date >= DATE '2000-01-01' THEN 'x' END AS extra FROM typed WHERE kind = 0""",
+    "late_snapshot_load": f"""WITH {RAW_CREDIT}
+      SELECT snapshot_date, CASE kind WHEN 0 THEN 'kept' ELSE 'rejected' END AS outcome, COUNT(*) AS "rows",
+             CAST(SUM(CAST(balance AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance
+      FROM typed WHERE snapshot_date < DATE '2001-12-31' GROUP BY ALL""",
+    "sheet_scan": """
+      SELECT CAST(o_orderkey AS VARCHAR) AS loan_id, o_orderstatus AS gender, file_format,
+             array_to_string(list_transform(regexp_extract_all(lower(o_orderpriority), '[a-z]+|[^a-z]+'),
+                 lambda w: upper(w[1]) || w[2:]), '') AS citizenship
+      FROM orders, (VALUES ('csv'), ('parquet')) AS f(file_format)""",
+    "drop_all_null_rows": """
+      SELECT event_type, COUNT(*) AS n, COUNT("value") AS with_value FROM events GROUP BY 1
+      UNION ALL SELECT NULL, COUNT("value"), COUNT("value") FROM events""",
+    "ri_coverage_null_keys": f"""WITH {CREDIT}, {CUSTOMERS},
+      keyed AS (SELECT CASE WHEN loan_id % 13 <> 0 THEN loan_id END AS loan_id FROM credit)
+      SELECT COUNT(*) AS total, CAST(count_if(loan_id IN (SELECT loan_id FROM customers)) AS BIGINT) AS matched,
+             ROUND(AVG(CAST(coalesce(loan_id IN (SELECT loan_id FROM customers), FALSE) AS INTEGER)), 6) AS coverage FROM keyed""",
     "drop_blank_rows": """
       SELECT o_orderstatus, COUNT(*) AS n, COUNT(o_orderkey) AS keys FROM orders GROUP BY 1""",
     "dedupe_latest": f"WITH {RANKED_LINES} SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1",

@@ -26,8 +26,9 @@ from creditloom.operators import audit, dedupe, joins, kpis, profiling, quality,
 from creditloom.plans import cleaning, features, warehouse
 from creditloom.session import scratch_dir
 from creditloom.settings import INCOME_BANDS, AtLeast, Rule, Settings
-from creditloom.sources import sinks
+from creditloom.sources import scans, sinks
 from creditloom.sources.scans import SNAPSHOT
+from creditloom.streaming.versions import VersionedSnapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -878,6 +879,84 @@ def snapshot_reload(spark, sf_dir):
     )
 
 
+_FILES = Settings(snapshot_pattern=r"Credit Data - (\d{2}-\d{2}-\d{4})(?: \d+)?\.csv")
+
+
+def _export_credit(raw: DataFrame, folder: str) -> None:
+    """Raw credit rows as dated CSV files. From 2000 on they have one more column, in another order."""
+    name = F.concat(F.lit("Credit Data - "), F.date_format(SNAPSHOT, "dd-MM-yyyy"), F.lit(".csv")).alias("file")
+    texts = [c for c in raw.columns if c != SNAPSHOT]
+    late = F.col(SNAPSHOT) >= F.lit("2000-01-01").cast("date")
+    A.export_files(raw.filter(~late).select(*texts, name), "file", folder)
+    A.export_files(raw.filter(late).select(F.lit("x").alias("Extra"), *reversed(texts), name), "file", folder)
+
+
+@query
+def csv_snapshot_scan(spark, sf_dir):
+    """Dated snapshot files with two kinds of header, scanned, cleaned and aligned."""
+    folder = scratch_dir(spark, "snapshot-files")
+    _export_credit(_raw_credit(spark, sf_dir), folder)
+    frames = scans.scan_snapshots(spark, folder, "*.csv", _FILES.snapshot_pattern, _FILES.snapshot_format)
+    return _credit_view(cleaning.clean_all_credit(frames))
+
+
+@query
+def late_snapshot_load(spark, sf_dir):
+    """A layer kept in step with its files: one wrong file is corrected, an old one comes late, the last is deleted."""
+    base = scratch_dir(spark, "late-files")
+    raw, day = _raw_credit(spark, sf_dir), F.col(SNAPSHOT).cast("string")
+    wrong = raw.withColumn("BALANCE", F.when(day == A.SNAPSHOTS[1], "1").otherwise(F.col("BALANCE")))
+    _export_credit(wrong.filter(day > A.SNAPSHOTS[0]), f"{base}/files")
+    layer = VersionedSnapshots(spark, f"{base}/layer", _FILES)
+    layer.sync(f"{base}/files", days_per_batch=2)
+    _export_credit(raw.filter(day <= A.SNAPSHOTS[1]), f"{base}/files")
+    A.delete_files(spark, f"{base}/files/Credit Data - 31-12-2001*.csv")
+    layer.sync(f"{base}/files")
+    parts = [
+        layer.read(outcome).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("balance").cast("decimal(18,2)")).alias("balance"))
+        .withColumn("outcome", F.lit(outcome))
+        for outcome in ("kept", "rejected")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def sheet_scan(spark, sf_dir):
+    """A padded customer sheet as CSV and as Parquet: of a loan's two rows the last in the file stays."""
+    base = scratch_dir(spark, "sheets")
+    row = F.col("row")
+    sheet = A.table(spark, sf_dir, "orders").withColumn("row", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        F.when(row < 2, F.col("o_orderkey").cast("string")).alias("Loan Id"),
+        F.when(row == 0, "old").when(row == 1, F.lower("o_orderpriority")).alias("Citizenship"),
+        F.when(row == 1, F.col("o_orderstatus")).alias("Gender"),
+    )
+    sinks.write_csv(sheet, f"{base}/csv")
+    sheet.write.parquet(f"{base}/parquet")
+    read = {
+        kind: cleaning.clean_gender(scans.scan_table(spark, f"{base}/{kind}", file_format=kind, multi_line=False, present=("loan_id",)))
+        for kind in ("csv", "parquet")
+    }
+    return reduce(DataFrame.unionByName, [df.withColumn("file_format", F.lit(kind)) for kind, df in read.items()])
+
+
+@query
+def drop_all_null_rows(spark, sf_dir):
+    """Events and padding rows, of which those without any value go; there is no key to go by."""
+    events = A.table(spark, sf_dir, "events")
+    pad = F.col("pad")
+    padded = events.withColumn("pad", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        *[F.when((pad == 0) | ((pad == 1) & F.lit(c == "value")), F.col(c)).alias(c) for c in events.columns]
+    )
+    return rows.drop_blank_rows(padded).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("with_value"))
+
+
+@query
+def ri_coverage_null_keys(spark, sf_dir):
+    """As ri_coverage, where every 13th loan has no id and counts as unmatched."""
+    credit = A.credit(spark, sf_dir).withColumn("loan_id", F.when(F.col("loan_id") % 13 != 0, F.col("loan_id")))
+    return rounded(joins.coverage(credit, A.customers(spark, sf_dir), "loan_id", count_null_keys=True))
+
+
 @query
 def sink_roundtrip(spark, sf_dir):
     """The risk KPI table through the Parquet, CSV and JSON sinks and back."""

@@ -22,6 +22,12 @@ def _latest_first(
     return [F.col(c).desc_nulls_last() for c in [*order_by, *tie_break]]
 
 
+def keep_tied(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """The rows that are highest in ``order_by`` within their key; several where they are tied."""
+    window = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
+
+
 def keep_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -99,3 +105,25 @@ def quarantine(
 ) -> DataFrame:
     """The rows ``keep_latest`` leaves out: together the two are the whole input."""
     return losing_rows(contested_rows(df, keys), keys, order_by, tie_break)
+
+
+def ranked_outcomes(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], narrow: Sequence[str], slices: int, outcome: str
+) -> DataFrame:
+    """Every row, with the text column ``outcome``: ``kept`` for the best row of its key, else ``rejected``.
+
+    Rows are shuffled once, by key and one of ``slices`` slices of it, so a key with very many rows is
+    spread. The best row of each slice then competes for its key with the columns ``narrow`` only
+    (those ``order_by`` reads), and the winning slice is joined back to the rows where they lie.
+    """
+    content = [c for c in df.columns if c not in keys]
+    # a struct, in which nulls are equal; the input split parts exact copies
+    turn = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
+    placed = df.withColumn("_k", F.struct(*keys)).withColumn("_slice", turn)
+    first = placed.withColumn("_first", F.row_number().over(Window.partitionBy("_k", "_slice").orderBy(*order_by)) == 1)
+    rivals = first.filter("_first").select("_k", "_slice", *[c for c in narrow if c not in keys], *keys)
+    best = rivals.withColumn("_rank", F.row_number().over(Window.partitionBy("_k").orderBy(*order_by))).filter("_rank = 1")
+    winners = best.select(F.col("_k").alias("_wk"), F.col("_slice").alias("_wslice"))
+    match = (F.col("_k") == F.col("_wk")) & (F.col("_slice") == F.col("_wslice"))
+    won = F.when(F.col("_first") & F.col("_wslice").isNotNull(), "kept").otherwise("rejected")
+    return first.join(winners, match, "left").select(*df.columns, won.alias(outcome))

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from creditloom.functions.dates import parse_dates
 from creditloom.functions.numbers import nps_class, to_flag, to_number
 from creditloom.functions.text import title_case
-from creditloom.operators.dedupe import contested_rows, keep_latest, losing_rows
+from creditloom.operators.dedupe import contested_rows, keep_latest, keep_tied, losing_rows, ranked_outcomes
 from creditloom.operators.joins import checked_left_join
 from creditloom.operators.rows import drop_blank_rows, normalise_headers, union_aligned
-from creditloom.sources.scans import ORDINAL, SNAPSHOT
+from creditloom.sources.scans import ORDINAL, SNAPSHOT, numbered
 
 # --- fixed values: columns by role, and the survey question's prefix ---------
 CREDIT_DATES = (
@@ -65,6 +65,7 @@ SCORE_QUESTION = "using_a_scale_from_0"
 # --- end of fixed values -----------------------------------------------------
 
 CREDIT_KEY = ("loan_id", "snapshot_date")
+OUTCOME = "outcome"
 
 
 @dataclass(frozen=True)
@@ -109,7 +110,7 @@ SOURCES = {
 
 def _keyed(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
     """Normalised headers, no blank rows, the snapshot date if there is one; all text still."""
-    out = drop_blank_rows(normalise_headers(df, keep=(ORDINAL, SNAPSHOT)), source.present)
+    out = numbered(drop_blank_rows(normalise_headers(df, keep=(ORDINAL, SNAPSHOT)), source.present))
     if snapshot_date is None and SNAPSHOT not in df.columns:
         return out
     stamp = F.col(SNAPSHOT) if snapshot_date is None else F.lit(snapshot_date)
@@ -131,17 +132,33 @@ def _typed(keyed: DataFrame, source: Source) -> DataFrame:
     return out.withColumns({name: make(F.col(c)) for name, (c, make) in source.derived.items() if c in out.columns})
 
 
-def _ranking(df: DataFrame, source: Source) -> tuple[list[str], list[str], list[str] | None]:
-    present = lambda names: [c for c in names if c in df.columns]
-    return list(source.key), present(source.newest), present([ORDINAL]) or None
+_ORDER = "_order_"
+
+
+def _with_order(keyed: DataFrame, source: Source) -> tuple[DataFrame, list[str]]:
+    """The frame with the columns that decide between rows of a key typed under other names."""
+    newest = [c for c in source.newest if c in keyed.columns]
+    typed = {f"{_ORDER}{c}": F.col(c) for c in newest}
+    out = parse_dates(keyed.withColumns(typed), [f"{_ORDER}{c}" for c in newest if c in source.dates])
+    return out.withColumns({f"{_ORDER}{c}": to_number(F.col(f"{_ORDER}{c}")) for c in newest if c in source.numbers}), list(typed)
 
 
 def clean(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
-    """One typed row per key. An export without the key columns is typed only."""
-    typed = _typed(_keyed(df, source, snapshot_date), source)
-    if not set(source.key) <= set(typed.columns):
-        return typed.drop(ORDINAL)
-    return keep_latest(typed, *_ranking(typed, source)).drop(ORDINAL)
+    """One typed row per key. An export without the key columns is typed only.
+
+    Only the columns that decide are typed ahead of the ranking, so rows that lose are
+    never parsed. Without ``_ordinal``, rows tied there are ranked again by all their values.
+    """
+    keyed = _keyed(df, source, snapshot_date)
+    if not set(source.key) <= set(keyed.columns):
+        return _typed(keyed, source).drop(ORDINAL)
+    ordered, deciding = _with_order(keyed, source)
+    best = [F.col(c).desc_nulls_last() for c in deciding]
+    if ORDINAL in keyed.columns:
+        winners = keep_latest(ordered, source.key, deciding, [ORDINAL])
+        return _typed(winners.drop(*deciding, ORDINAL), source)
+    tied = keep_tied(ordered, source.key, best) if best else ordered
+    return keep_latest(_typed(tied.drop(*deciding), source), source.key, [])
 
 
 def rejected(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
@@ -153,7 +170,31 @@ def rejected(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
     if not set(source.key) <= set(keyed.columns):
         return _typed(keyed, source).drop(ORDINAL).limit(0)
     contested = _typed(contested_rows(keyed, source.key), source)
-    return losing_rows(contested, *_ranking(contested, source)).drop(ORDINAL)
+    present = lambda names: [c for c in names if c in contested.columns]
+    return losing_rows(contested, list(source.key), present(source.newest), present([ORDINAL]) or None).drop(ORDINAL)
+
+
+def sorted_out(df: DataFrame, source: Source, snapshot_date=None, slices: int | None = None) -> DataFrame:
+    """All rows that count, typed, with ``outcome``: ``kept`` as by ``clean``, or ``rejected``.
+
+    For writing both in one pass: the export is read, shuffled and parsed once. Without
+    ``_ordinal`` ties are decided by all values, which are then typed ahead of the ranking.
+    ``slices`` (by default the number of shuffle partitions) is among how many tasks the rows
+    of one key may be spread.
+    """
+    keyed = _keyed(df, source, snapshot_date)
+    if not set(source.key) <= set(keyed.columns):
+        return _typed(keyed, source).drop(ORDINAL).withColumn(OUTCOME, F.lit("kept"))
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_place = ORDINAL in keyed.columns
+    ordered, deciding = _with_order(keyed, source) if by_place else (_typed(keyed, source), [c for c in source.newest if c in keyed.columns])
+    ties = [ORDINAL] if by_place else [c for c in ordered.columns if c not in source.key and c not in deciding]
+    best = [F.col(c).desc_nulls_last() for c in [*deciding, *ties]]
+    ranked = ranked_outcomes(ordered, list(source.key), best, [*deciding, *ties], slices, OUTCOME)
+    if not by_place:
+        return ranked
+    out = _typed(ranked.drop(*deciding, ORDINAL), source)
+    return out.select(*[c for c in out.columns if c != OUTCOME], OUTCOME)
 
 
 def clean_credit_snapshot(df: DataFrame, snapshot_date=None) -> DataFrame:

@@ -152,6 +152,7 @@ class Settings:
     snapshot_glob: str = SNAPSHOT_GLOB
     snapshot_pattern: str = SNAPSHOT_NAME_PATTERN
     snapshot_format: str = SNAPSHOT_NAME_FORMAT
+    encoding: str = "UTF-8"
     freshness_days: int = 100
     null_limits: Mapping[str, float] = field(default_factory=lambda: dict(NULL_LIMITS))
     age_range: tuple[float, float] = (18, 100)
@@ -186,6 +187,7 @@ class Settings:
         take("snapshot_glob", "paths.raw.credit_glob")
         take("snapshot_pattern", "ingest.filename_date_pattern")
         take("snapshot_format", "ingest.filename_date_format", spark_date_format)
+        take("encoding", "ingest.csv_read.encoding")
         take("freshness_days", "quality.freshness.max_days_between_snapshots", int)
         take("null_limits", "quality.nulls.customer_id_columns", dict)
         take("min_coverage", "quality.referential_integrity.credit_to_sales_min_coverage", float)
