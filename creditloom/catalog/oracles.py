@@ -403,12 +403,28 @@ def _top_part(name, source, i, column, dtype, width) -> str:
     return f"""SELECT '{name}' AS dataset, '{column}' AS column_name, CAST(rn AS INTEGER) AS position,
       "value", n FROM (
         SELECT "value", COUNT(*) AS n, row_number() OVER (
-            ORDER BY COUNT(*) DESC, left("value", 63),
-                     CASE WHEN length("value") > 63 THEN sha256("value") END NULLS FIRST) AS rn
+            ORDER BY COUNT(*) DESC, "value") AS rn
         FROM (SELECT CAST({column} AS VARCHAR) AS "value" FROM {source}) WHERE "value" IS NOT NULL
         GROUP BY "value") WHERE rn <= 5"""
 
 
+def _exact_part(dataset, source, column, dtype, scale) -> str:
+    v = f"CAST({column} AS {dtype})"
+    half = f"CAST(CAST(SUM(v) AS DECIMAL(36,{scale})) * CASE WHEN COUNT(*) = 1 THEN 1.0 ELSE 0.5 END AS DECIMAL(38,{scale + 1}))"
+    return f"""SELECT '{dataset}' AS dataset, '{column}' AS column_name,
+      (SELECT CAST(MIN({v}) AS VARCHAR) FROM {source}) AS "min", (SELECT CAST(MAX({v}) AS VARCHAR) FROM {source}) AS "max",
+      CAST({half} AS VARCHAR) AS median
+      FROM (SELECT {v} AS v, row_number() OVER (ORDER BY {column}) AS rn, COUNT(*) OVER () AS n FROM {source} WHERE {column} IS NOT NULL)
+      WHERE rn IN ((n + 1) // 2, n // 2 + 1)"""
+
+
+EXACT = [
+    ("orders", "orders", "o_orderkey", "BIGINT", 0), ("orders", "orders", "o_custkey", "BIGINT", 0),
+    ("large", "large", "big", "BIGINT", 0), ("large", "large", "decimal", "DECIMAL(30,4)", 4), ("large", "large", "price", "DECIMAL(18,2)", 2),
+    ("customers", "customers", "loan_id", "BIGINT", 0), ("customers", "customers", "received", "DECIMAL(20,2)", 2),
+    ("customers", "customers", "duration", "BIGINT", 0), ("customers", "customers", "citizenship", "INTEGER", 0),
+]
+
 # profile of the raw credit export, the events and the customers with odd headers
 RAW_COLUMNS = (
     ("LOAN_ID", "CASE WHEN kind <> 2 THEN CAST(loan_id AS VARCHAR) END"),
@@ -657,6 +673,9 @@ ORACLES: dict[str, str] = {
     "profile_columns": f"WITH {CUSTOMERS} {_each_column(_null_part)}",
     "profile_distinct": f"WITH {CUSTOMERS} {_each_column(_distinct_part)}",
     "profile_numeric": f"WITH {CUSTOMERS} {_each_column(_numeric_part, lambda d: d in NUMERIC)}",
+    "profile_exact": f"""WITH {CUSTOMERS}, large AS (SELECT o_orderkey + 9007199254740993 AS big,
+      CAST(o_custkey AS DECIMAL(30,4)) AS "decimal", CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders)
+      {" UNION ALL ".join(_exact_part(*part) for part in EXACT)}""",
     "profile_top_values": f"WITH {CUSTOMERS} {_each_column(_top_part, lambda d: d not in NUMERIC)}",
     "profile_findings": f"""{PROFILES}
       SELECT 'HIGH' AS severity, dataset, 'join_key_null' AS issue,

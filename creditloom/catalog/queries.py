@@ -655,48 +655,36 @@ def _profiled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def profile_columns(spark, sf_dir):
-    stats = [profiling.column_stats(df, name) for name, df in _profiled(spark, sf_dir).items()]
-    return profiling.union_profiles(stats).select(
-        "dataset", "position", "column_name", "dtype", "row_count", "column_count", "null_count",
-        "null_pct",
-    )
+    return profiling.count_columns(_profiled(spark, sf_dir)).drop("distinct_count", "distinct_pct")
 
 
 @query
 def profile_distinct(spark, sf_dir):
-    counts = [
-        profiling.distinct_counts(df).withColumn("dataset", F.lit(name))
-        for name, df in _profiled(spark, sf_dir).items()
-    ]
-    return profiling.union_profiles(counts)
+    counts = profiling.count_columns(_profiled(spark, sf_dir)).filter("distinct_count > 0")
+    return counts.select("dataset", "column_name", "distinct_count")
 
 
 @query
 def profile_numeric(spark, sf_dir):
-    parts = []
-    for name, df in _profiled(spark, sf_dir).items():
-        numeric = profiling.numeric_columns(df)
-        stats = profiling.column_stats(df, name).filter(F.col("column_name").isin(numeric))
-        parts.append(
-            stats.select("dataset", "column_name", "min", "max", "mean", "std").join(
-                profiling.exact_medians(df, numeric), "column_name"
-            )
-        )
-    return rounded(profiling.union_profiles(parts), 3)
+    return rounded(profiling.number_columns(_profiled(spark, sf_dir)).drop("exact"), 3)
+
+
+@query
+def profile_exact(spark, sf_dir):
+    """Extremes and medians of whole and decimal numbers with all their digits, also beyond those of doubles."""
+    orders = A.table(spark, sf_dir, "orders")
+    large = orders.select((F.col("o_orderkey") + 9007199254740993).alias("big"), F.col("o_custkey").cast("decimal(30,4)").alias("decimal"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    texts = profiling.number_columns({"orders": orders.select("o_orderkey", "o_custkey"), "large": large, "customers": A.customers(spark, sf_dir)})
+    return texts.select("dataset", "column_name", F.col("exact.min").alias("min"), F.col("exact.max").alias("max"), F.col("exact.median").alias("median"))
 
 
 @query
 def profile_top_values(spark, sf_dir):
-    tops = [
-        profiling.top_values(df).withColumn("dataset", F.lit(name))
-        for name, df in _profiled(spark, sf_dir).items()
-    ]
-    return profiling.union_profiles(tops)
+    return profiling.top_columns(_profiled(spark, sf_dir))
 
 
 def _full_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What findings and the hot list read: null and distinct shares per column."""
-    parts = []
     tables = {
         "credit": _raw_credit(spark, sf_dir).drop(SNAPSHOT),
         "events": A.table(spark, sf_dir, "events"),
@@ -704,10 +692,7 @@ def _full_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("gender", "?gender")
         .withColumnRenamed("citizenship", "citizen�ship"),
     }
-    for name, df in tables.items():
-        stats = profiling.column_stats(df, name)
-        parts.append(profiling.with_distinct(stats, profiling.distinct_counts(df)))
-    return profiling.union_profiles(parts)
+    return profiling.count_columns(tables)
 
 
 @query

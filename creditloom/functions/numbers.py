@@ -149,3 +149,37 @@ def dpd_bucket(days: Column) -> Column:
     for name, lo, hi in DPD_BUCKETS[::-1]:
         label = F.when(days.between(lo, hi), name).otherwise(label)
     return F.when(days.isNull(), DPD_NO_MATCH).otherwise(label)
+
+
+def double_key(value: Column) -> Column:
+    """A bigint that orders as doubles do; null for null and NaN. -0.0 and 0.0 have one key.
+
+    It is the number's bit pattern, put together from exponent and fraction, both exact:
+    the logarithm only guesses the exponent, which is then corrected.
+    """
+    two = lambda e: F.pow(F.lit(2.0), e)
+    size = F.abs(value)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
+    e = F.when(two(guess) > size, guess - 1).when(size >= two(guess) * 2, guess + 1).otherwise(guess)
+    e = F.greatest(e, F.lit(-1022))
+    fraction = (size / two(e) - 1) * F.lit(2.0**52)
+    small = (size * F.lit(2.0**537)) * F.lit(2.0**537)
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long"))
+        .when(size == F.lit(float("inf")), F.lit(2047 << 52))
+        .when(size < F.lit(2.0**-1022), small.cast("long"))
+        .otherwise((e + 1023) * F.lit(1 << 52) + fraction.cast("long"))
+    )
+    return F.when(~F.isnan(value), F.when(value < 0, -bits).otherwise(bits))
+
+
+def key_double(key: Column) -> Column:
+    """The double of a key."""
+    bits = F.abs(key)
+    exponent, fraction = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    size = (
+        F.when(exponent == 0, fraction * F.lit(2.0**-537) * F.lit(2.0**-537))
+        .when(exponent == 2047, F.lit(float("inf")))
+        .otherwise((fraction / F.lit(2.0**52) + 1) * F.pow(F.lit(2.0), (exponent - 1023).cast("double")))
+    )
+    return F.when(key < 0, -size).otherwise(size)

@@ -84,7 +84,7 @@ def test_quarantine_spreads_copies_of_one_row(spark):
 
 
 def test_counts_on_a_hot_value(hot):
-    assert values(profiling.exact_medians(hot, ["k", "i"], small=1000).orderBy("column_name"), "median")[0][0] == (N - 1) / 2
+    assert values(profiling.exact_medians(hot, ["k", "i"]).orderBy("column_name"), "median")[0][0] == (N - 1) / 2
     top = profiling.top_values(hot.select(F.col("k").cast("string").alias("k")), top=1).first()
     assert top.value == "7" and top.n >= N // 3
     assert joins.coverage(hot, hot.filter("k = 7"), "k").first().matched == top.n
