@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.operators.dedupe import repeated_keys
 
@@ -54,108 +59,96 @@ def asof_join(
     right: DataFrame,
     *,
     key: str,
-    left_id: str,
-    left_time: Column,
+    left_time: Column | str,
     right_time: str,
     payload: Sequence[str],
+    partitions: int | None = None,
 ) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 
-    One output row per ``left_id``, unmatched ones with nulls. Meant for a right
-    side unique on (key, time) with a limited number of times per key, such as
-    reporting dates. Both join inputs are plain shuffles on the key, which lets
-    adaptive execution split a key with very many left rows; the ranking sends
-    one candidate per ``left_id`` onwards.
+    One output row per left row, with nulls where nothing matches or key or time is null. Of right
+    rows with equal key and time the one highest in ``payload`` counts (nulls lowest).
+
+    Both sides go through one range shuffle by (key, time) and are merged there: the last right row
+    seen so far is the match, so no pairs are formed and a key with any share of the rows
+    spans as many of the ``partitions`` (by default the session's) as it fills. What a partition
+    ends with is carried to those after it by a scan over one row a partition.
     """
-    candidates = right.select(F.col(key).alias("_key"), right_time, *payload)
-    matched = left.withColumn("_at", left_time).join(
-        candidates,
-        (F.col(key) == F.col("_key")) & (F.col(right_time) <= F.col("_at")),
-        "left",
-    )
-    newest = Window.partitionBy(left_id).orderBy(
-        F.col(right_time).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in payload]
+    at = F.col(left_time) if isinstance(left_time, str) else left_time
+    timed = left.withColumn("_at", at)
+    can_match = F.col(key).isNotNull() & F.col("_at").isNotNull()
+    known = right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull())
+    found = F.struct(right_time, *payload)
+    # the input split parts equal left rows; right rows need no parting beyond their payload
+    turn = F.xxhash64(F.spark_partition_id(), *left.columns)
+    questions = timed.filter(can_match).select(
+        F.col(key).alias("_k"), F.col("_at").alias("_time"), F.lit(1).alias("_side"), turn.alias("_turn"), F.struct(*left.columns).alias("_row")
     )
-    return (
-        matched.withColumn("_rank", F.row_number().over(newest))
-        .filter("_rank = 1")
-        .drop("_key", "_at", "_rank")
+    answers = known.select(F.col(key).alias("_k"), F.col(right_time).alias("_time"), F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_turn"), found.alias("_found"))
+    merged = questions.unionByName(answers, allowMissingColumns=True)
+    order = ["_k", "_time", "_side", "_found", "_turn"]
+    # a given number of partitions is not changed while the query runs, so both readers below see the same ones
+    count = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = merged.repartitionByRange(count, *order).sortWithinPartitions(*order).select("_k", "_side", "_row", "_found")
+    types = {f.name: f.dataType for f in placed.schema.fields}
+    schema = T.StructType([
+        T.StructField("_row", types["_row"]), T.StructField("_match", types["_found"]), T.StructField("_part", T.IntegerType()), T.StructField("_open", T.BooleanType()),
+        T.StructField("_first", types["_k"]), T.StructField("_last", types["_k"]),
+    ])
+    filled = placed.mapInArrow(_filled_forward, schema)
+
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = filled.filter("_row IS NULL").withColumn("_end", F.when(F.col("_match").isNotNull(), F.struct("_last", "_match")))
+    carried = ends.withColumn("_end", F.last("_end", ignorenulls=True).over(earlier)).filter(F.col("_end")["_last"] == F.col("_first")).select(
+        F.col("_part").alias("_for"), F.col("_end")["_match"].alias("_carried")
     )
+    # one row a partition
+    joined = filled.filter("_row IS NOT NULL").join(F.broadcast(carried), F.col("_open") & (F.col("_part") == F.col("_for")), "left")
+    match = F.coalesce("_match", "_carried")
+    names = [right_time, *payload]
+    matched = joined.withColumn("_match", match).select("_row.*", *[F.col("_match")[c].alias(c) for c in names])
+    return matched.unionByName(left.withColumn("_at", at).filter(~can_match).drop("_at"), allowMissingColumns=True)
 
 
-def asof_join_many(
-    left: DataFrame,
-    right: DataFrame,
-    *,
-    key: str,
-    left_time: str,
-    right_time: str,
-    payload: Sequence[str],
-    slice_of: Column,
-) -> DataFrame:
-    """As-of join for a right side with very many times per key; no pairs are formed.
+def _filled_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Left rows of a sorted partition with the last right row of their key before them.
 
-    Both sides are merged by time within (key, slice), where ``slice_of`` is a
-    non-decreasing expression of column ``_time`` (a month, say) that is never null: the last right
-    row seen so far is the match. Rows ahead of the first right row of their
-    slice take the newest right row of the key's earlier slices. A slice, not a
-    key, is the largest unit one task handles.
+    Rows of the partition's first key ahead of its first right row are open: earlier
+    partitions may have their match. A last row without a left row tells the first and
+    the last key, and the last key's last right row.
     """
-    found = F.struct(F.col(right_time).alias(right_time), *payload)
-    can_match = F.col(key).isNotNull() & F.col(left_time).isNotNull()
-    from_left = left.filter(can_match).select(
-        F.col(key).alias("_k"),
-        F.col(left_time).alias("_time"),
-        F.lit(1).alias("_side"),
-        F.struct(*left.columns).alias("_row"),
-    )
-    from_right = (
-        right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull())
-        .withColumn("_found", found)
-        .select(
-            F.col(key).alias("_k"), F.col(right_time).alias("_time"), F.lit(0).alias("_side"), "_found"
-        )
-    )
-    sliced_right = from_right.withColumn("_slice", slice_of)
-
-    # newest right row of the slices before each one; one row per (key, slice)
-    earlier = Window.partitionBy("_k").orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow - 1
-    )
-    newest = sliced_right.groupBy("_k", "_slice").agg(F.max("_found").alias("_newest"))
-    slices = newest.select("_k", "_slice", "_newest").unionByName(
-        from_left.withColumn("_slice", slice_of).select("_k", "_slice").distinct(),
-        allowMissingColumns=True,
-    )
-    carried = (
-        slices.groupBy("_k", "_slice")
-        .agg(F.max("_newest").alias("_newest"))
-        .withColumn("_carried", F.last("_newest", ignorenulls=True).over(earlier))
-        .select(F.col("_k").alias("_ck"), F.col("_slice").alias("_cslice"), "_carried")
-    )
-
-    so_far = (
-        Window.partitionBy("_k", "_slice")
-        .orderBy("_time", "_side", "_found")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    merged = (
-        sliced_right.unionByName(
-            from_left.withColumn("_slice", slice_of), allowMissingColumns=True
-        )
-        .withColumn("_seen", F.last("_found", ignorenulls=True).over(so_far))
-        .filter("_side = 1")
-    )
-    joined = merged.join(
-        carried,
-        # plain equality keeps the rows where the window has put them
-        (F.col("_k") == F.col("_ck")) & (F.col("_slice") == F.col("_cslice")),
-        "left",
-    ).withColumn("_match", F.coalesce("_seen", "_carried"))
-    matched = joined.select(
-        "_row.*", *[F.col(f"_match.{c}").alias(c) for c in [right_time, *payload]]
-    )
-    return matched.unionByName(left.filter(~can_match), allowMissingColumns=True)
+    part, first, last, carry = TaskContext.get().partitionId(), None, None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        keys, rows, found = batch.column("_k"), batch.column("_row"), batch.column("_found")
+        fresh = np.ones(n, dtype=bool)
+        fresh[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        fresh[0] = last is None or not keys[0].equals(last)
+        if first is None:
+            first, carry = keys[0], pa.nulls(1, found.type)
+        begins = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
+        is_left = batch.column("_side").to_numpy() == 1
+        seen = np.maximum.accumulate(np.where(is_left, -1, np.arange(n)))
+        # 0 stands for the carried row, which serves rows of the key that the last batch ended with
+        here = (seen >= begins) & (seen >= 0)
+        place = pa.array(np.where(here, seen + 1, 0), mask=~here & (begins >= 0))
+        match = pa.concat_arrays([carry, found]).take(place)
+        # no right row yet in this partition, and still its first key
+        is_open = match.is_null().to_numpy(zero_copy_only=False) & (pc.equal(keys, first).to_numpy(zero_copy_only=False))
+        kept = np.flatnonzero(is_left)
+        m, kind = len(kept), keys.type
+        if m:
+            take = pa.array(kept)
+            yield pa.RecordBatch.from_arrays(
+                [rows.take(take), match.take(take), pa.array(np.full(m, part, np.int32)), pa.array(is_open[kept]), pa.nulls(m, kind), pa.nulls(m, kind)],
+                ["_row", "_match", "_part", "_open", "_first", "_last"],
+            )
+        carry, last = match.slice(n - 1), keys[n - 1]
+    if first is not None:
+        ends = [pa.nulls(1, rows.type), carry, pa.array([part], pa.int32()), pa.array([False]), pa.array([first.as_py()], kind), pa.array([last.as_py()], kind)]
+        yield pa.RecordBatch.from_arrays(ends, ["_row", "_match", "_part", "_open", "_first", "_last"])
 
 
 def coverage(

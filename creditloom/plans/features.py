@@ -146,7 +146,6 @@ def credit_x_nps(nps: DataFrame, features: DataFrame, as_of: dt.date | str) -> D
         nps.select(*SURVEY_COLUMNS),
         features,
         key="loan_id",
-        left_id="submission_id",
         left_time=F.coalesce(F.col("submitted_at"), F.lit(as_of).cast("timestamp_ntz")),
         right_time="snapshot_date",
         payload=[c for c in SURVEY_FEATURES if c in features.columns],

@@ -155,21 +155,32 @@ def test_asof_join_against_brute_force(spark):
     a = spark.createDataFrame(left, "i int, k int, t int").repartition(5)
     b = spark.createDataFrame(right, "k int, rt int, v int").repartition(3)
     out = joins.asof_join(
-        a, b, key="k", left_id="i", left_time=F.coalesce("t", F.lit(200)), right_time="rt", payload=["v"]
+        a, b, key="k", left_time=F.coalesce("t", F.lit(200)), right_time="rt", payload=["v"]
     )
     assert sorted(values(out)) == asof_expected(left, right, 200)
 
 
-@pytest.mark.parametrize("width", [1, 25, 1000])
-def test_asof_join_many_against_brute_force(spark, width):
+@pytest.mark.parametrize(("partitions", "batch"), [(1, 10_000), (7, 3), (60, 1)])
+def test_asof_join_over_partition_and_batch_ends(spark, partitions, batch):
     left, right = asof_data(spark)
     a = spark.createDataFrame(left, "i int, k int, t int").repartition(5)
     b = spark.createDataFrame(right, "k int, rt int, v int").repartition(3)
-    out = joins.asof_join_many(
-        a, b, key="k", left_time="t", right_time="rt", payload=["v"],
-        slice_of=F.floor(F.col("_time") / width),
-    )
-    assert sorted(values(out)) == asof_expected(left, right)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = joins.asof_join(a, b, key="k", left_time="t", right_time="rt", payload=["v"], partitions=partitions)
+        assert sorted(values(out)) == asof_expected(left, right)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_asof_join_of_odd_rows(spark):
+    a = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (2, None, 5), (3, "a", None), (4, "z", 5), (5, "a", 0)], "i int, k string, t int")
+    b = spark.createDataFrame([("a", 5, None), ("a", 5, 1), ("a", 1, 9), (None, 1, 1), ("b", None, 1)], "k string, rt int, v int")
+    out = joins.asof_join(a, b, key="k", left_time="t", right_time="rt", payload=["v"])
+    none = (None, None)
+    assert sorted(values(out), key=str) == sorted([(1, "a", 5, 5, 1), (1, "a", 5, 5, 1), (2, None, 5, *none), (3, "a", None, *none), (4, "z", 5, *none), (5, "a", 0, *none)], key=str)
+    assert values(joins.asof_join(a.limit(0), b, key="k", left_time="t", right_time="rt", payload=["v"])) == []
+    assert {r.v for r in joins.asof_join(a, b.limit(0), key="k", left_time="t", right_time="rt", payload=["v"]).collect()} == {None}
 
 
 def test_coverage_and_unmatched(spark):

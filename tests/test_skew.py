@@ -56,15 +56,19 @@ def test_joins_split_the_hot_key(spark, hot, dates, small_partitions):
     assert "SortMergeJoin(skew=true)" in final_plan(out)
     assert values(out) == [(N, N * (N - 1) // 2)]
 
-    matched = joins.asof_join(
-        hot, dates, key="k", left_id="i", left_time=F.col("t"), right_time="rt", payload=["p"]
-    )
-    out = matched.agg(F.count(F.lit(1)), F.count_if(F.col("rt") != F.floor(F.col("t") / 300).cast("int") * 300))
-    assert "SortMergeJoin(skew=true)" in final_plan(out)
-    # times over 900 still match the last date
-    assert out.first()[0] == N
-    wrong = matched.filter(F.col("rt") != F.least(F.floor(F.col("t") / 300), F.lit(2)) * 300)
-    assert wrong.count() == 0
+
+def test_asof_join_spreads_the_hot_key(spark, hot):
+    """2,000 times a key, of which no pairs are formed, and a key on a third of all rows in many partitions."""
+    few = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("k")
+    times = spark.range(2000).select(few, F.col("id").alias("rt"), (F.col("id") * 2).alias("p"))
+    matched = joins.asof_join(hot, times, key="k", left_time="t", right_time="rt", payload=["p"], partitions=30)
+    known = F.col("k") < 10
+    right = F.when(known, (F.col("rt") == F.col("t")) & (F.col("p") == 2 * F.col("t"))).otherwise(F.col("rt").isNull() & F.col("p").isNull())
+    assert values(matched.agg(F.count(F.lit(1)), F.count_if(right), F.count_if(known) > N / 4)) == [(N, N, True)]
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and "rangepartitioning" in plan
+    share = matched.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert share < N / 6
 
 
 def test_dedupe_keeps_all_rows_of_the_hot_key(hot):
