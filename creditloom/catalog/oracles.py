@@ -755,6 +755,27 @@ ORACLES: dict[str, str] = {
       FROM (VALUES ('v_portfolio_by_age_band'), ('v_portfolio_by_income_band'), ('v_portfolio_by_risk'),
                    ('v_portfolio_health')) AS t(v)
       UNION ALL SELECT 'v_credit_x_nps', (SELECT COUNT(*) FROM nps)""",
+    "stored_views": f"""WITH {HEALTH}, {ASOF.split(CREDIT_FEATURES, 1)[1].lstrip().removeprefix(',')},
+      matched AS (SELECT snapshot_date, COUNT(*) AS respondents FROM cxn GROUP BY 1),
+      bands AS (SELECT snapshot_date, COUNT(DISTINCT coalesce(age_band, 'Unknown')) AS age_bands,
+                       COUNT(DISTINCT coalesce(income_band, 'Unknown')) AS income_bands, COUNT(*) AS n FROM feat GROUP BY 1)
+      SELECT coalesce(h.snapshot_date, m.snapshot_date) AS snapshot_date, accounts, ROUND(delinquency_rate, 6) AS delinquency_rate,
+             ROUND(par30_rate, 6) AS par30_rate, ROUND(par60_rate, 6) AS par60_rate,
+             ROUND(write_off_rate, 6) AS write_off_rate, ROUND(paid_off_rate, 6) AS paid_off_rate,
+             ROUND(return_rate, 6) AS return_rate, ROUND(collection_rate, 6) AS collection_rate,
+             ROUND(avg_arrears, 6) AS avg_arrears, ROUND(avg_balance, 6) AS avg_balance, portfolio_balance,
+             respondents, age_bands, income_bands, n AS by_risk
+      FROM health h FULL JOIN matched m ON h.snapshot_date = m.snapshot_date LEFT JOIN bands b ON b.snapshot_date = h.snapshot_date""",
+    "whole_run": f"""WITH {RAW_CREDIT},
+      sheet AS (SELECT COUNT(*) AS n, COUNT(DISTINCT l_orderkey) AS loans, COUNT(DISTINCT l_orderkey * 10 + l_linenumber) AS submissions FROM lineitem)
+      SELECT 'raw credit_' || CAST(snapshot_date AS VARCHAR) AS table_name, COUNT(*) AS "rows" FROM kinds GROUP BY snapshot_date
+      UNION ALL SELECT 'rejected credit', (SELECT COUNT(*) FROM typed WHERE kind = 1)
+      UNION ALL SELECT 'fct_portfolio_snapshot', (SELECT COUNT(*) FROM credit)
+      UNION ALL SELECT t, n FROM sheet, (VALUES ('raw sales_sales'), ('raw sales_dob'), ('raw sales_income'), ('raw nps')) AS v(t)
+      UNION ALL SELECT t, n - loans FROM sheet, (VALUES ('rejected sales'), ('rejected dob'), ('rejected income')) AS v(t)
+      UNION ALL SELECT t, loans FROM sheet, (VALUES ('dim_customer'), ('fct_sales')) AS v(t)
+      UNION ALL SELECT 'fct_nps', submissions FROM sheet UNION ALL SELECT 'rejected nps', n - submissions FROM sheet
+      UNION ALL SELECT 'raw sales_gender', COUNT(*) FROM orders UNION ALL SELECT 'rejected gender', 0""",
     "audit_rows": f"""WITH {RAW_CREDIT}
       SELECT 'clean_credit' AS step, 'in_rows' AS metric, (SELECT COUNT(*) FROM kinds) AS "value"
       UNION ALL SELECT 'clean_credit', 'out_rows', (SELECT COUNT(*) FROM credit)""",

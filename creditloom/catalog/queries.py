@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ from creditloom.functions.numbers import (
 from creditloom.functions.text import title_case
 from creditloom.operators import audit, dedupe, joins, kpis, profiling, quality, rows
 from creditloom.plans import cleaning, features, warehouse
+from creditloom.plans.pipeline import Inputs, Run, run_pipeline
 from creditloom.session import scratch_dir
 from creditloom.settings import INCOME_BANDS, AtLeast, Rule, Settings
 from creditloom.sources import scans, sinks
@@ -319,8 +322,8 @@ def title_case_text(spark, sf_dir):
 # --- cleaning ----------------------------------------------------------------------
 
 
-def _raw_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The credit table as exported text: raw headers, padding, older copies, blank rows."""
+def _raw_credit(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """The credit table as exported text: raw headers, padding, older copies, blank rows; ``more`` of its columns."""
     credit = A.credit(spark, sf_dir)
     loan = F.col("loan_id")
     # up to three rows per loan: the row itself, an older copy, a blank row
@@ -351,6 +354,7 @@ def _raw_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell(F.col("balance") + kind).alias("BALANCE"),
         cell(F.col("closing_balance")).alias("CLOSING_BALANCE"),
         cell(F.datediff("snapshot_date", "sale_date")).alias("CUSTOMER_AGE"),
+        *[cell(F.col(c)).alias(c.upper()) for c in more],
         F.lit(None).cast("string").alias("Unnamed: 28"),
         F.col("snapshot_date").alias(SNAPSHOT),
     )
@@ -514,14 +518,13 @@ def dedupe_keep_last(spark, sf_dir):
     )
 
 
-@query
-def clean_nps(spark, sf_dir):
+def _raw_nps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey export: long question header, text scores, several rows per submission."""
     question = "Using a scale from 0 (not likely) to 10 (very likely), how likely are you to recommend us?"
     lines = A.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_suppkey"
     )
-    raw = lines.select(
+    return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("Submission ID"),
         F.col("l_orderkey").cast("string").alias("Loan Id"),
         F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd").alias("Submitted at"),
@@ -530,7 +533,11 @@ def clean_nps(spark, sf_dir):
         .alias(question),
         F.col("l_suppkey").cast("string").alias("� Any other feedback?"),
     )
-    return cleaning.clean_nps(raw).withColumn("submitted_at", F.to_date("submitted_at"))
+
+
+@query
+def clean_nps(spark, sf_dir):
+    return cleaning.clean_nps(_raw_nps(spark, sf_dir)).withColumn("submitted_at", F.to_date("submitted_at"))
 
 
 @query
@@ -985,6 +992,47 @@ def views_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def stored_views(spark, sf_dir):
+    """The views of a database, read by name in a session that never made them."""
+    database = f"warehouse_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'warehouse')}'")
+    warehouse.load_warehouse(
+        spark, features=_features(spark, sf_dir), customers=A.customers(spark, sf_dir), sales=A.table(spark, sf_dir, "orders"),
+        nps=_survey(spark, sf_dir), as_of=A.AS_OF, database=database,
+    )
+    other = spark.newSession()
+    health = rounded(other.sql(f"SELECT * FROM {database}.v_portfolio_health"))
+    matched = other.sql(f"SELECT snapshot_date, count(*) AS respondents FROM {database}.v_credit_x_nps GROUP BY 1")
+    ages = other.sql(f"SELECT snapshot_date, count(*) AS age_bands FROM {database}.v_portfolio_by_age_band GROUP BY 1")
+    incomes = other.sql(f"SELECT snapshot_date, count(*) AS income_bands FROM {database}.v_portfolio_by_income_band GROUP BY 1")
+    risks = other.sql(f"SELECT snapshot_date, sum(accounts) AS by_risk FROM {database}.v_portfolio_by_risk GROUP BY 1")
+    out = health.join(matched, "snapshot_date", "full")
+    for part in (ages, incomes, risks):
+        out = out.join(part, "snapshot_date", "left")
+    return out
+
+
+@query
+def whole_run(spark, sf_dir):
+    """The staged run over exported files: snapshots, sheets and survey; row counts of all it leaves."""
+    base = scratch_dir(spark, "run")
+    _export_credit(_raw_credit(spark, sf_dir, "total_paid", "total_due_today"), f"{base}/credit")
+    for name, raw in (("sales", _raw_sales), ("gender", _raw_gender), ("dob", _raw_dob), ("income", _raw_income), ("nps", _raw_nps)):
+        sinks.write_csv(raw(spark, sf_dir), f"{base}/{name}")
+    inputs = Inputs(f"{base}/credit", *[f"{base}/{n}" for n in ("sales", "gender", "dob", "income", "nps")])
+    settings = replace(_FILES, snapshot_glob="*.csv")
+    run = Run(spark, inputs, f"{base}/out", A.AS_OF, settings=settings)
+    run_pipeline(run)
+    counts = spark.read.schema("table_name string, rows bigint").json(run.path("outputs/table_counts"))
+    profiled = run.layer("profiles").groupBy("dataset").agg(F.max("row_count").alias("rows")).select(F.concat(F.lit("raw "), "dataset").alias("table_name"), "rows")
+    lost = [
+        run.layer(f"quarantine/{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"rejected {name}").alias("table_name"), "rows")
+        for name in ("credit", "sales", "gender", "dob", "income", "nps")
+    ]
+    return reduce(DataFrame.unionByName, [counts, profiled, *lost])
+
+
 @query
 def audit_rows(spark, sf_dir):
     """Row counts of a cleaning step, counted while its layer is written."""

@@ -6,7 +6,7 @@ import operator
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.settings import (
@@ -151,18 +151,19 @@ def dpd_bucket(days: Column) -> Column:
     return F.when(days.isNull(), DPD_NO_MATCH).otherwise(label)
 
 
-def double_key(value: Column) -> Column:
-    """A bigint that orders as doubles do; null for null and NaN. -0.0 and 0.0 have one key.
+def with_double_key(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The frame with a bigint that orders as the doubles of a column do; null for null and NaN.
 
-    It is the number's bit pattern, put together from exponent and fraction, both exact:
-    the logarithm only guesses the exponent, which is then corrected.
+    It is the number's bit pattern, put together from exponent and fraction, both exact: the
+    logarithm only guesses the exponent, which is then corrected. -0.0 and 0.0 have one
+    key. The steps are columns of their own, so that each is written and worked out once.
     """
-    two = lambda e: F.pow(F.lit(2.0), e)
-    size = F.abs(value)
-    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
-    e = F.when(two(guess) > size, guess - 1).when(size >= two(guess) * 2, guess + 1).otherwise(guess)
-    e = F.greatest(e, F.lit(-1022))
-    fraction = (size / two(e) - 1) * F.lit(2.0**52)
+    value, size, guess, low, e = (F.col(c) for c in (name, "_size", "_guess", "_low", "_e"))
+    steps = df.withColumn("_size", F.abs(value))
+    steps = steps.withColumn("_guess", F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)))
+    steps = steps.withColumn("_low", F.pow(F.lit(2.0), guess))
+    steps = steps.withColumn("_e", F.greatest(F.when(low > size, guess - 1).when(size >= low * 2, guess + 1).otherwise(guess), F.lit(-1022)))
+    fraction = (size / F.pow(F.lit(2.0), e) - 1) * F.lit(2.0**52)
     small = (size * F.lit(2.0**537)) * F.lit(2.0**537)
     bits = (
         F.when(size == 0, F.lit(0).cast("long"))
@@ -170,7 +171,9 @@ def double_key(value: Column) -> Column:
         .when(size < F.lit(2.0**-1022), small.cast("long"))
         .otherwise((e + 1023) * F.lit(1 << 52) + fraction.cast("long"))
     )
-    return F.when(~F.isnan(value), F.when(value < 0, -bits).otherwise(bits))
+    steps = steps.withColumn("_bits", bits)
+    signed = F.when(value < 0, -F.col("_bits")).otherwise(F.col("_bits"))
+    return steps.withColumn(key, F.when(~F.isnan(value), signed)).drop("_size", "_guess", "_low", "_e", "_bits")
 
 
 def key_double(key: Column) -> Column:
