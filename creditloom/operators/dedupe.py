@@ -120,9 +120,11 @@ def ranked_outcomes(
     # a struct, in which nulls are equal; the input split parts exact copies
     turn = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(slices)).cast("int")
     placed = df.withColumn("_k", F.struct(*keys)).withColumn("_slice", turn)
-    first = placed.withColumn("_first", F.row_number().over(Window.partitionBy("_k", "_slice").orderBy(*order_by)) == 1)
-    rivals = first.filter("_first").select("_k", "_slice", *[c for c in narrow if c not in keys], *keys)
-    best = rivals.withColumn("_rank", F.row_number().over(Window.partitionBy("_k").orderBy(*order_by))).filter("_rank = 1")
+    # no row ahead of it; a row number would be limited ahead of the shuffle for the rivals alone, from a scan of their own
+    first = placed.withColumn("_first", F.lag(F.lit(1)).over(Window.partitionBy("_k", "_slice").orderBy(*order_by)).isNull())
+    # the hash needs every column, as the join below does, so both read the same shuffle of one scan
+    rivals = first.filter("_first").select("_k", "_slice", *[c for c in narrow if c not in keys], *keys, F.xxhash64(*df.columns).alias("_all"))
+    best = rivals.withColumn("_rank", F.row_number().over(Window.partitionBy("_k").orderBy(*order_by, "_all"))).filter("_rank = 1")
     winners = best.select(F.col("_k").alias("_wk"), F.col("_slice").alias("_wslice"))
     match = (F.col("_k") == F.col("_wk")) & (F.col("_slice") == F.col("_wslice"))
     won = F.when(F.col("_first") & F.col("_wslice").isNotNull(), "kept").otherwise("rejected")
