@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from creditloom.llm.tables import small_batches, stored
-from creditloom.llm.tokens import shared_coder, vocabulary_path
+from creditloom.llm.tokens import TEXT_BYTES, shared_coder, vocabulary_path
 from creditloom.llm.words import slices
 
 SHARED = 1 << 62  # sequences that pieces of several tasks fill
@@ -85,7 +85,7 @@ def cut_documents(docs: DataFrame, capacity: int, short: int, vocabulary: str, e
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 ids, at = coder.encode_ending(part.column("text"), end)
                 data, rows = ids.astype("<u4").tobytes(), []
                 for doc, first, last in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):

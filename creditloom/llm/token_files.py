@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from creditloom.llm.tables import small_batches
-from creditloom.llm.tokens import shared_coder, vocabulary_path
+from creditloom.llm.tokens import TEXT_BYTES, shared_coder, vocabulary_path
 from creditloom.llm.words import slices
 
 BLOCK = 256
@@ -154,7 +154,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 ids, at = coder.encode_ending(part.column("text"), end)
                 for k, name in enumerate(part.column("doc_id").to_pylist()):
                     names.append(name)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from creditloom.llm.words import utf8
 
 GROUP = 200
+# bytes of text to encode at once: the more, the fewer words are looked up or encoded again
+TEXT_BYTES = 6_000_000
 
 
 def vocabulary_path(path: str | None = None) -> str:
@@ -62,7 +64,7 @@ class TokenCoder:
     words stay while memory is bounded.
     """
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str, keep: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
