@@ -1,14 +1,16 @@
-"""Substring dedup: passages of enough words that two documents have.
-
-Every passage of ``min_words`` words has an anchor, the least hash of the shorter runs of
-words in it. It depends on the passage's words only, so documents that share a passage
-share its anchor, whatever surrounds it and however often its words repeat. Documents
-that are alone with an anchor are compared at once; where more have it, its passages
-are hashed too. Documents that share one are compared word by word.
-
-``chunks`` cuts a text by a gear rolling hash, read at the end of every word: after the
-words where it is least among its neighbours. Chunks depend on what is near them only,
-but how near is a matter of the words; no passage is found or left by them.
+"""Substring dedup: passages of enough words that two documents have, by content-defined chunks.
+
+A gear hash rolls over the words of a text. The text is cut after a word whose hash is
+least among so many words in a row, the last of the least ones; chunks have at most as
+many words. A chunk is known by the digest of its words and of those that the hash at its
+opening cut was read from. All that decides about a chunk inside a shared passage lies in
+the passage, and these sizes are such that every ``min_words`` words hold such a chunk
+whole (``reach``): documents that share a passage share a chunk of it, whatever surrounds it
+and however often its words repeat.
+
+Chunks are deduplicated by digest. Documents that are alone with one are compared at
+once; where more have it, the hashes of the passages that it stands for say who shares
+them. Documents that share one are compared word by word.
 """
 
 from __future__ import annotations
@@ -23,87 +25,122 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from creditloom.llm.bitmaps import bitmap, id_hash, may_have
 from creditloom.llm.tables import small_batches, stored
-from creditloom.llm.words import BASE, BASE_INVERSE, BYTE_CODES, mix, slices, span_hashes, utf8, word_bounds
+from creditloom.llm.words import BASE, BASE_INVERSE, mix, slices, span_hashes, utf8, word_bounds
+
+LEAD = 16
+
 
-GEAR = (BYTE_CODES >> np.uint64(32)).astype(np.uint32)
+def reach(size: int) -> tuple[int, int]:
+    """Words that a cut's hash is read from, and words among which a cut's hash is least.
+
+    In ``size`` words, ``size - lead + 1`` hashes are read from these words alone, twice
+    ``among`` or more (of a single word one, which is a chunk). The last least of the first ``among`` of them is a
+    cut, and so is that of the last ``among``. No span of ``among`` words that lies partly
+    outside chooses a word between these two, as it holds one of them; so the cuts between
+    them, and the chunk after the first, are the same wherever the words stand.
+    """
+    lead = LEAD if size > 1 else 0
+    while lead > max(size // 3, 1):
+        lead //= 2
+    return lead, (size - lead + 1) // 2
 
 
-def gear_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """h = 2 h + gear(byte), over each text's bytes; 32 bits, so 32 bytes count.
+def gear_hashes(hashes: np.ndarray, words: np.ndarray, lead: int) -> np.ndarray:
+    """h = (h << 64 / lead) + the word's hash, over each text's words: ``lead`` words count.
 
-    The sum over 32 bytes is made from sums over 1, 2, 4, 8 and 16.
+    ``lead`` is a power of two; the sum over all is made from sums over 1, 2, 4, ... words.
     """
-    h = GEAR[data]
-    place = np.arange(len(data)) - np.repeat(at[:-1], np.diff(at))
-    for k in (1, 2, 4, 8, 16):
+    h, k = hashes.copy(), 1
+    place = np.arange(len(h)) - np.repeat(words[:-1], np.diff(words))
+    while k < lead:
         if len(h) > k:
-            earlier = np.where(place[k:] >= k, h[:-k] << np.uint32(k), np.uint32(0))
-            h[k:] = h[k:] + earlier
+            h[k:] = h[k:] + np.where(place[k:] >= k, h[:-k] << np.uint64(64 // lead * k), np.uint64(0))
+        k *= 2
     return h
 
 
-def chunks(data: np.ndarray, at: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def last_least(x: np.ndarray, among: int) -> np.ndarray:
+    """Place of the last of the least among every ``among`` items, from those of 1, 2, 4, ... items."""
+    place, span = np.arange(len(x)), 1
+    while span < among:
+        step = min(span, among - span)
+        later = x[step:] <= x[:-step]
+        x, place = np.where(later, x[step:], x[:-step]), np.where(later, place[step:], place[:-step])
+        span += step
+    return place
+
+
+class WordRuns:
+    """Hashes of runs of words, whatever texts they are of, from prefix sums."""
+
+    def __init__(self, hashes: np.ndarray):
+        powers = np.full(len(hashes) + 1, BASE, dtype=np.uint64)
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        self.sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes * powers[:-1], out=self.sums[1:])
+        powers.fill(BASE_INVERSE)
+        powers[0] = 1
+        self.back = np.multiply.accumulate(powers)
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return mix((self.sums[last] - self.sums[first]) * self.back[first] + (last - first).astype(np.uint64))
+
+    def of(self, size: int) -> np.ndarray:
+        """Of every ``size`` words in a row."""
+        return mix((self.sums[size:] - self.sums[:-size]) * self.back[:-size] + np.uint64(size))
+
+
+class Chunks:
+    """The chunks of texts, given their words' hashes and the texts' offsets among these.
+
+    digest and n_words of each chunk, ``at`` the texts' offsets among the chunks, ``of``
+    the chunk of each word, ``cuts`` the cut chosen among the words from each one on.
+    """
+
+    def __init__(self, hashes: np.ndarray, words: np.ndarray, size: int, runs: WordRuns):
+        lead, among = reach(size)
+        owner = np.repeat(np.arange(len(words) - 1), np.diff(words))
+        self.cuts = last_least(gear_hashes(hashes, words, lead), among)
+        cut = np.zeros(len(hashes), dtype=bool)
+        cut[self.cuts[owner[among - 1 :] == owner[: len(self.cuts)]]] = True
+        first = np.ones(len(hashes), dtype=bool)
+        first[1:] = cut[:-1] | (owner[1:] != owner[:-1])
+        begin = np.flatnonzero(first)
+        end = np.append(begin[1:], len(hashes)) if len(begin) else begin
+        self.digest = runs.between(np.maximum(begin - lead, words[owner[begin]]), end)
+        self.n_words, self.of, self.at = end - begin, np.cumsum(first) - 1, np.searchsorted(begin, words)
+
+
+def chunks(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Digest and number of words of each chunk, and the offsets of each text's chunks.
 
-    A text is cut after a word whose hash is below those of the ``radius`` words before
-    it and not above those of the ``radius`` words after it.
+    Every ``size`` words that two texts share hold a chunk of both.
     """
+    hashes, words = word_hashes(data, at)
+    found = Chunks(hashes, words, size, WordRuns(hashes))
+    return found.digest, found.n_words, found.at
+
+
+def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and the offsets of each text's words."""
     starts, ends, words = word_bounds(data, at)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    h = gear_hashes(data, at)[ends - 1]
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(words))
-    cut = np.ones(len(h), dtype=bool)
-    for k in range(1, radius + 1):
-        same = owner[k:] == owner[:-k]
-        cut[k:] &= ~same | (h[k:] < h[:-k])
-        cut[:-k] &= ~same | (h[:-k] <= h[k:])
-    first = np.zeros(len(h), dtype=bool)
-    first[0] = True
-    first[1:] = cut[:-1] | (owner[1:] != owner[:-1])
-    begin = np.flatnonzero(first)
-    size = np.diff(np.append(begin, len(h)))
-    place = np.arange(len(h)) - np.repeat(begin, size)
-    digest = np.add.reduceat(mix(span_hashes(data, starts, ends) ^ mix((place + 1).astype(np.uint64))), begin)
-    return digest, size, np.searchsorted(begin, words)
+    return span_hashes(data, starts, ends), words
 
 
 def passage_hashes(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and anchor of every run of ``size`` words within a text, and its text.
-
-    The anchor is the least hash of the runs of size - size // 2 + 1 words in it (of the
-    whole, if size is 1).
-    """
-    starts, ends, words = word_bounds(data, at)
-    if len(starts) < size:
+    """Hash of every run of ``size`` words within a text, the digest of its first own chunk, and its text."""
+    hashes, words = word_hashes(data, at)
+    if len(hashes) < size:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(words))
     inside = owner[size - 1 :] == owner[: len(owner) - size + 1]
-    hashes, among = span_hashes(data, starts, ends), max(size // 2, 1)
-    anchor = least_of(word_runs(hashes, size - among + 1), among)
-    return word_runs(hashes, size)[inside], anchor[inside], owner[: len(inside)][inside]
-
-
-def least_of(x: np.ndarray, among: int) -> np.ndarray:
-    """The least of every ``among`` items in a row, from those of 1, 2, 4, ... items."""
-    span = 1
-    while span < among:
-        step = min(span, among - span)
-        x, span = np.minimum(x[:-step], x[step:]), span + step
-    return x
-
-
-def word_runs(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every ``size`` words in a row, whatever texts they are of."""
-    powers = np.full(len(hashes) + 1, BASE, dtype=np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers[:-1], out=sums[1:])
-    powers.fill(BASE_INVERSE)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    return mix((sums[size:] - sums[:-size]) * powers[: len(hashes) - size + 1] + np.uint64(size))
+    runs = WordRuns(hashes)
+    found, lead = Chunks(hashes, words, size, runs), reach(size)[0]
+    opening = found.cuts[max(lead - 1, 0) :][: len(inside)][inside]
+    # the chunk after the first cut that the run itself decides; a single word is its own
+    chunk = found.of[opening] + (1 if size > 1 else 0)
+    return runs.of(size)[inside], found.digest[chunk], owner[: len(inside)][inside]
 
 
 def distinct_per_text(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,25 +152,25 @@ def distinct_per_text(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray
     return owner[new], hashes[new]
 
 
-def digest_rows(docs: DataFrame, min_words: int, anchors: np.ndarray | None = None, passages: np.ndarray | None = None) -> DataFrame:
-    """digest and doc_id, once per text: the anchors of its passages of ``min_words`` words.
+def digest_rows(docs: DataFrame, min_words: int, chunks: np.ndarray | None = None, passages: np.ndarray | None = None) -> DataFrame:
+    """digest and doc_id, once per text: the chunks that its passages of ``min_words`` words are found by.
 
-    With a bitmap of anchors instead the passages whose anchors may be in it, and of those
+    With a bitmap of chunks instead the passages whose chunks may be in it, and of those
     the ones that may be in the bitmap ``passages``, if that is given too.
     """
     schema = StructType([StructField("digest", LongType()), docs.schema["doc_id"]])
-    sent = docs.sparkSession.sparkContext.broadcast((anchors, passages))
+    sent = docs.sparkSession.sparkContext.broadcast((chunks, passages))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, passages = sent.value
+        chunks, passages = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
-                digest, anchor, owner = passage_hashes(*utf8(part.column("text")), min_words)
-                if anchors is None:
-                    pick, digest = np.ones(len(anchor), dtype=bool), anchor
-                    pick[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
+                digest, chunk, owner = passage_hashes(*utf8(part.column("text")), min_words)
+                if chunks is None:
+                    pick, digest = np.ones(len(chunk), dtype=bool), chunk
+                    pick[1:] = (chunk[1:] != chunk[:-1]) | (owner[1:] != owner[:-1])
                 else:
-                    pick = may_have(anchors, anchor)
+                    pick = may_have(chunks, chunk)
                     if passages is not None:
                         pick &= may_have(passages, digest)
                 owner, digest = distinct_per_text(owner[pick], digest[pick])
@@ -224,7 +261,7 @@ def confirm(wide: DataFrame, min_words: int) -> DataFrame:
             rows: dict[str, list] = {side: [] for side in sides}
             for k in range(batch.num_rows):
                 texts = [batch.column(f"{side}_text").slice(k, 1) for side in sides]
-                hashes = [passage_hashes(*utf8(text), min_words)[0] for text in texts]
+                hashes = [WordRuns(word_hashes(*utf8(text))[0]).of(min_words) for text in texts]
                 words: list = []
                 for side, turn in (("low", 1), ("high", -1)):
                     places = shared_places(*hashes[::turn]) if batch.column(f"{side}_asks")[k].as_py() else []
@@ -252,12 +289,12 @@ def repeated_passages(docs: DataFrame, min_words: int = 50) -> DataFrame:
     Rows with one doc_id are one document, and passages between them do not count. An
     empty table gives an empty result.
     """
-    shared = stored(holders(digest_rows(docs, min_words)), "shared-anchors")
-    # two documents that are alone with an anchor can only have its passages from each other
-    anchors = bitmap(shared.filter("n > 2"), "digest")
-    held = stored(holders(digest_rows(docs, min_words, anchors)), "shared-passages")
+    shared = stored(holders(digest_rows(docs, min_words)), "shared-chunks")
+    # two documents that are alone with a chunk can only have its passages from each other
+    common = bitmap(shared.filter("n > 2"), "digest")
+    held = stored(holders(digest_rows(docs, min_words, common)), "shared-passages")
     many = held.filter("n > 2")
-    inner = between(digest_rows(docs, min_words, anchors, bitmap(many, "digest")), many)
+    inner = between(digest_rows(docs, min_words, common, bitmap(many, "digest")), many)
     pairs = both_ways(shared.filter("n = 2")).unionByName(both_ways(held)).unionByName(inner)
     return passages_of_pairs(docs, pairs, min_words)
 

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from creditloom.llm.langid import classify, grams, letter_table
 from creditloom.llm.neardup import shingle_sets
 from creditloom.llm.packing import cut_lengths
-from creditloom.llm.passages import chunks, common_run, common_runs
+from creditloom.llm.passages import chunks, common_run, common_runs, passage_hashes
 from creditloom.llm.rule_ensemble import apply_rules, extract_rules, lasso_logistic
 from creditloom.llm.stats import count_statistics
 from creditloom.llm.token_files import Segment, encode_segment
@@ -141,6 +141,19 @@ def test_chunks_resist_insertions():
     assert apart.tolist() == digests[at[1] : at[2]].tolist() and len(alone) == 2
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 12, 50])
+def test_equal_runs_have_a_chunk_in_common(size):
+    draw = random.Random(size)
+    for letters in ("a", "ab", "abcde") * 10:
+        texts = [" ".join(draw.choices(letters, k=draw.randint(0, 4 * size))) for _ in range(5)]
+        hashes, found_by, owner = passage_hashes(*utf8(column(texts)), size)
+        digests, sizes, at = chunks(*utf8(column(texts)), size)
+        assert len(hashes) == sum(max(0, len(t.split()) - size + 1) for t in texts) and sizes.sum() == sum(len(t.split()) for t in texts)
+        assert len(set(zip(hashes.tolist(), found_by.tolist()))) == len(set(hashes.tolist()))
+        for k in range(len(texts)):
+            assert set(found_by[owner == k].tolist()) <= set(digests[at[k] : at[k + 1]].tolist())
+
+
 def test_common_run():
     assert common_run(list("xabcdy"), list("abcdz"), 2, 1) == (1, 4)
     assert common_run(list("ab"), list("cd"), 0, 0) == (0, 0)
