@@ -37,7 +37,16 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("vec") == (top[0]["length"] if top else 0)).distinct()
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two that bring their largest components to 0.5 to 1.
+
+    Directions and digits stay, and no square is too large or too small for a double.
+    """
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -94,7 +103,8 @@ class PermutationIndex:
 
         ``queries`` are rows of the index. A row is no candidate for its own id. In every
         block the best ``share`` by footrule distance, at least ``least``, are compared
-        exactly. Equal scores are ordered by vec_id.
+        exactly. Equal scores are ordered by vec_id. Finite components of any size have
+        finite scores. An empty index gives an empty result.
         """
         schema = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()), StructField("score", DoubleType())])
         if not self.pivots:
@@ -121,7 +131,7 @@ def search_block(queries: pa.Table, rows: pa.Table, pivots: int, listed: int, k:
     """The nearest rows of one block for each query of one block."""
     out_query, out_row, out_score = [], [], []
     if queries.num_rows and rows.num_rows:
-        ids, x, orders = rows["vec_id"].to_numpy(), matrix(rows["vec"]), matrix(rows["order"]).astype(np.int64)
+        ids, x, orders = rows["vec_id"].to_numpy(), scaled(matrix(rows["vec"])), matrix(rows["order"]).astype(np.int64)
         turn = np.argsort(ids, kind="stable")
         ids, x, orders = ids[turn], x[turn], orders[turn]
         size = np.sqrt((x * x).sum(axis=1))
@@ -130,7 +140,7 @@ def search_block(queries: pa.Table, rows: pa.Table, pivots: int, listed: int, k:
         entry_row, entry_place = by_pivot // listed, by_pivot % listed
         starts = np.searchsorted(orders.reshape(-1)[by_pivot], np.arange(pivots + 1))
         places = np.arange(listed)
-        for name, q, order in zip(queries["vec_id"].to_pylist(), matrix(queries["vec"]), matrix(queries["order"]).astype(np.int64), strict=True):
+        for name, q, order in zip(queries["vec_id"].to_pylist(), scaled(matrix(queries["vec"])), matrix(queries["order"]).astype(np.int64), strict=True):
             low, count = starts[order], starts[order + 1] - starts[order]
             at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
             gain = listed - np.maximum(np.repeat(places, count), entry_place[at])

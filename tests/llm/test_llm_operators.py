@@ -85,6 +85,13 @@ def test_search_of_odd_vectors(spark):
     assert none.search(none.rows).columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_search_of_vast_and_tiny_vectors(spark):
+    rows = [(k, [x * size for x in v], "") for k, (v, size) in enumerate(zip(([3.0, 4.0], [4.0, 3.0], [-3.0, 4.0], [3.0, 4.0]), (1e200, 1e-200, 1e300, 1.0), strict=True))]
+    index = PermutationIndex(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, rank string"), pivots=4, listed=2)
+    got = index.search(index.rows.filter("vec_id = 0"), k=3).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 1, 2] and [r.score for r in got] == pytest.approx([1.0, 0.96, 0.28])
+
+
 def test_search_recall_and_equal_vectors(spark):
     draw = np.random.default_rng(3)
     centres = draw.normal(size=(20, 16))
