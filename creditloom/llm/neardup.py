@@ -205,6 +205,14 @@ def first_table() -> Column:
     return reduce(lambda a, b: a + b, agree) == 2
 
 
+def links_by_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that hold texts of one doc_id."""
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id")
+    held = known.join(several, "doc_id", "left_semi").join(nodes.select("digest", "node"), "digest").select("doc_id", F.col("node").alias("a")).distinct()
+    least = held.groupBy("doc_id").agg(F.min("a").alias("b"))
+    return held.join(least, "doc_id").filter("a <> b").select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -212,7 +220,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     common shingles are at least ``percent`` per cent of their union are linked.
     component_id is the least doc_id reachable. Texts that are null or without words
     have no shingle and are linked with nothing. Rows with one doc_id are one document
-    with several texts. A null doc_id is linked with nothing and kept. An empty table
+    with several texts, which all belong to its component. A null doc_id is linked with nothing and kept. An empty table
     gives an empty result.
     """
     rows = stored(signatures(docs, size), "shingle-signatures")
@@ -233,7 +241,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     named = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
     sets = stored(full_sets(docs, named, size), "shingle-sets")
     links = stored(confirmed(star, sets, percent), "star-links")
-    joined = components(links)
+    of_ids = stored(links_by_id(known, nodes), "id-links")
+    joined = components(links.unionByName(of_ids))
 
     # what is left: pairs of a bucket in different components, one of them not linked to its centre
     facts = nodes.join(joined, "node", "left").select("node", "n", "sketch", "halves", F.coalesce("component", "node").alias("component"))
@@ -250,7 +259,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = stored(confirmed(rest, sets, percent), "other-links")
     if more.limit(1).count():
-        joined = components(links.unionByName(more))
+        joined = components(links.unionByName(of_ids).unionByName(more))
 
     of_set = nodes.select("digest", "node").join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     linked = known.select("doc_id", "n", "digest").join(of_set, "digest").select("doc_id", "n", "component_id")

@@ -411,6 +411,14 @@ def test_near_duplicates_against_brute_force(spark, size):
     assert got == brute_components(rows, size)
 
 
+def test_documents_of_several_texts_join_their_groups(spark):
+    draw = random.Random(21)
+    a, b, c = (prose(draw, 60) for _ in range(3))
+    rows = [(5, a, "en", "s", 0), (5, b, "en", "s", 0), (3, b, "en", "s", 0), (9, a, "en", "s", 0), (9, c, "en", "s", 0), (7, c, "en", "s", 0), (8, None, "en", "s", 0)]
+    got = near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in got) == {(5, 3, False): 2, (3, 3, True): 1, (9, 3, False): 2, (7, 3, False): 1, (8, 8, True): 1}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(k, k + 1) for k in range(100, 160)]
     star = [(50, k) for k in range(51, 90)]
