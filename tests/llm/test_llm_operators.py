@@ -17,7 +17,7 @@ from creditloom.llm.bitmaps import bitmap, may_have
 from creditloom.llm.entries import LLM_ORACLES, LLM_QUERIES
 from creditloom.llm.graph import components
 from creditloom.llm.langid import fit, identify_language, known_language
-from creditloom.llm.mixing import mix, mixed_documents
+from creditloom.llm.mixing import mix, mixed_documents, repeat
 from creditloom.llm.neardup import near_duplicates, without_near_duplicates
 from creditloom.llm.packing import pack
 from creditloom.llm.passages import repeated_passages
@@ -275,6 +275,21 @@ def test_mixing_is_unbiased(spark):
     assert 0.7 <= np.mean(counts) / 20 <= 1.3
 
 
+def test_equal_rows_are_rounded_row_by_row(spark):
+    text = "w " * 300
+    rows = [(1, text, "en", "a", 0)] * 50 + [(k, "w " * (10 + k % 9), "en", "b", 0) for k in range(2, 900)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [r for r in mix(docs).collect() if r.doc_id == 1]
+    taken = sum(r.taken for r in got)
+    assert len(got) == 50 and abs(taken - got[0].target) <= 300 and len({r.copies for r in got}) <= 2
+    assert mixed_documents(docs).filter("doc_id = 1").count() * 300 == taken
+
+
+def test_rows_repeat_in_blocks(spark):
+    frame = spark.createDataFrame([(1, 25_001), (2, 0), (3, 10_000), (4, 1)], "k int, n long")
+    assert {r.k: r["count"] for r in repeat(frame, F.col("n")).groupBy("k").count().collect()} == {1: 25_001, 3: 10_000, 4: 1}
+
+
 # 5: passages
 
 
