@@ -58,7 +58,7 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify_language(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+    return identify_language(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def _count_of(kind: str) -> Column:

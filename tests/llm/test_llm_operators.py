@@ -16,7 +16,7 @@ from creditloom.llm.ann import PermutationIndex
 from creditloom.llm.bitmaps import bitmap, may_have
 from creditloom.llm.entries import LLM_ORACLES, LLM_QUERIES
 from creditloom.llm.graph import components
-from creditloom.llm.langid import fit, identify_language, known_language
+from creditloom.llm.langid import grams, identify_language, known_language, learning_rows, letter_table
 from creditloom.llm.mixing import mix, mixed_documents, repeat
 from creditloom.llm.neardup import near_duplicates, without_near_duplicates
 from creditloom.llm.packing import pack
@@ -461,9 +461,45 @@ def test_rare_languages_are_learned(spark):
     rows = [(k, prose(draw, 5), "en" if k % 2 else "fr", "s", 0) for k in range(600)]
     rows += [(600 + k, prose(draw, 5), f"r{k:02}", "s", 0) for k in range(20)]
     docs = spark.createDataFrame(rows, DOCS)
-    assert fit(docs, max_rows=60)[0] == sorted({r[2] for r in rows})
+    langs, learned = learning_rows(docs, max_rows=60)
+    assert langs == sorted({r[2] for r in rows}) == sorted({r.lang for r in learned.collect()})
     same = docs.filter("lang IN ('en', 'r00', 'r01')").withColumn("doc_id", F.lit(None).cast("bigint"))
-    assert fit(same, max_rows=2)[0] == ["en", "r00", "r01"]
+    assert learning_rows(same, max_rows=2)[0] == ["en", "r00", "r01"]
+
+
+def brute_language(rows, bits=14, smoothing=0.5):
+    letters, counts = letter_table(), defaultdict(Counter)
+    found = {r[0]: Counter(grams([r[1] or ""], letters, bits)[0].tolist()) for r in rows}
+    for r in rows:
+        if zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[2] is not None and r[1] is not None:
+            counts[r[2]] += found[r[0]]
+    out = {}
+    for doc, own in found.items():
+        sums = {lang: sum(n * np.log((c[g] + smoothing) / (c.total() + smoothing * 2**bits)) for g, n in own.items()) for lang, c in sorted(counts.items())}
+        best = max(sums, key=sums.get)
+        out[doc] = (best, 1 / sum(np.exp(v - sums[best]) for v in sums.values())) if own else ("und", 1.0)
+    return out
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_language_scores_against_python(spark, block):
+    draw = random.Random(16)
+    kinds = {"en": "abcde", "fr": "defgh", "de": "ghijk", "sw": "jklmn", "so": "mnopa"}
+    rows = [(k, prose(draw, draw.randint(1, 6), kinds[lang] + "é"), lang, "s", 0) for k in range(150) for lang in [draw.choice(sorted(kinds))]]
+    rows += [(200, "", "en", "s", 0), (201, "12 3", "fr", "s", 0), (202, None, "fr", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("Score", F.lit("s")).withColumn("LANG_PRED", F.lit(1))
+    got, expected = identify_language(docs, block=block).collect(), brute_language(rows)
+    assert len(got) == len(expected) == len(rows)
+    for r in got:
+        assert r.lang_pred == expected[r.doc_id][0] and r.score == pytest.approx(expected[r.doc_id][1], rel=1e-9)
+    assert identify_language(docs, keep=["doc_id"]).columns == ["doc_id", "lang_pred", "score", "held_out"]
+    assert known_language(docs).columns == docs.columns
+
+
+def test_more_languages_than_a_matrix_holds(spark):
+    rows = [(k, chr(0x4E00 + k) * 30, f"l{k:03}", "s", 0) for k in range(300)]
+    got = identify_language(spark.createDataFrame(rows, DOCS), held_out=F.lit(False)).collect()
+    assert len(got) == 300 and np.mean([r.lang_pred == f"l{r.doc_id:03}" for r in got]) > 0.95
 
 
 def test_language_of_held_out_documents(spark, sf_dir):
