@@ -5,6 +5,7 @@ All work is done by Spark SQL functions. Positions are code points, ends exclusi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from math import log
@@ -43,33 +44,99 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET)
 
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
+WORD_SPAN = "struct<start:int,rank:int,end:int,kind:string,word:string>"
+# numbers, or characters, to a block of a long array or text
+BLOCK = 128
+CHARACTERS = 4096
+
+
+def held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, joined_: Callable[[Column, Column], Column]) -> Column:
+    """For an array of whole numbers of 0 or more: what all up to each one amount to.
+
+    In blocks of BLOCK numbers, whose ends are carried on afterwards, so that no long
+    array grows by single appends.
+    """
+    none = F.array().cast("array<int>")
+    last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0))
+
+    def blocks_of(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        return F.transform(starts, lambda k: F.aggregate(F.slice(v, k * BLOCK + 1, BLOCK), none, lambda acc, x: F.array_append(acc, joined_(last(acc), x))))
+
+    def carried(blocks: Column) -> Column:
+        return F.aggregate(blocks, F.array(F.lit(0)), lambda acc, block: F.array_append(acc, joined_(last(acc), last(block))))
+
+    def whole(blocks: Column) -> Column:
+        return held(carried(blocks), lambda ends: F.flatten(F.transform(blocks, lambda block, k: F.transform(block, lambda x: joined_(ends[k], x)))))
+
+    return held(values, lambda v: F.when(F.size(v) > 0, held(blocks_of(v), whole)).otherwise(none))
+
+
+def plus(a: Column, b: Column) -> Column:
+    return a + b
 
 
 def matches(text: Column, kind: Kind, rank: int) -> Column:
-    """Spans of a kind, leftmost and non-overlapping, those that are too short left out.
+    """Spans of a kind with their strings, leftmost and non-overlapping, too short ones left out.
 
-    The parts between matches and the matches themselves alternate, so a match starts
-    after the lengths of all parts and matches before it.
+    The parts between matches and the matches themselves alternate, so a match ends
+    after the lengths of all parts and matches up to it.
     """
     pattern = F.lit(kind.pattern)
-    gaps, found = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    parts = F.arrays_zip(
-        F.transform(F.slice(gaps, 1, F.size(found)), F.length).alias("gap"),
-        F.transform(found, F.length).alias("long"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(kind.group)), F.length).alias("proof"),
-    )
-    state = f"struct<at:int,out:array<{SPAN}>>"
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + x["long"]
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind")).cast(SPAN)
-        out = F.when(x["proof"] >= kind.least, F.array_append(acc["out"], span)).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out")).cast(state)
+    def spans_of(found: Column) -> Column:
+        gaps = F.slice(F.split(text, kind.pattern, -1), 1, F.size(found))
+        ends = running(F.zip_with(gaps, found, lambda gap, match: F.length(gap) + F.length(match)), plus)
+        proof = found if kind.group == 0 else F.regexp_extract_all(text, pattern, F.lit(kind.group))
+        rows = F.arrays_zip(ends.alias("end"), found.alias("word"), F.transform(proof, F.length).alias("proof"))
+        return F.transform(
+            F.filter(rows, lambda x: x["proof"] >= kind.least),
+            lambda x: F.struct(
+                (x["end"] - F.length(x["word"])).alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), x["word"].alias("word")
+            ),
+        )
+
+    none = F.array().cast(f"array<{WORD_SPAN}>")
+    found = held(F.regexp_extract_all(text, pattern, F.lit(0)), lambda f: spans_of(f).cast(f"array<{WORD_SPAN}>"))
+    return F.when(F.regexp_like(text, F.lit(kind.look)), found).otherwise(none)
+
+
+def bare(spans: Column) -> Column:
+    """Spans without their strings."""
+    return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "rank", "end", "kind")]).cast(SPAN))
 
-    none = F.array().cast(f"array<{SPAN}>")
-    folded = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")).cast(state), step, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, F.lit(kind.look)), folded).otherwise(none)
+
+def count_before(sorted_: Column, limit: Column) -> Column:
+    """How many numbers of a sorted array are less than ``limit``, by halving."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(sorted_) + 1.0)).cast("int") + 1)
+    state = "struct<low:int,high:int>"
+
+    def step(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        open_, less = acc["low"] < acc["high"], sorted_[middle] < limit
+        return F.struct(
+            F.when(open_ & less, middle + 1).otherwise(acc["low"]).alias("low"), F.when(open_ & ~less, middle).otherwise(acc["high"]).alias("high")
+        ).cast(state)
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(sorted_).alias("high")).cast(state), step, lambda acc: acc["low"])
+
+
+def apart(candidates: Column, spans: Column) -> Column:
+    """Those candidates that overlap none of the spans, which are sorted by start."""
+
+    def free(edges: Column) -> Column:
+        def alone(s: Column) -> Column:
+            return held(count_before(edges["starts"], s["end"]), lambda k: (k == 0) | (edges["ends"][k - 1] <= s["start"]))
+
+        return F.filter(candidates, alone)
+
+    edges = F.struct(F.transform(spans, lambda b: b["start"]).alias("starts"), running(F.transform(spans, lambda b: b["end"]), F.greatest).alias("ends"))
+    return F.when((F.size(candidates) > 0) & (F.size(spans) > 0), held(edges, free)).otherwise(candidates)
 
 
 def joined(spans: Column) -> Column:
@@ -130,7 +197,7 @@ def likelihood_ratio(word: Column, ratios: list[float]) -> Column:
 def base_spans(text: Column) -> Column:
     """All base spans of a text; a null text has none."""
     full = F.coalesce(text, F.lit(""))
-    return F.concat(*[matches(full, kind, rank) for rank, kind in enumerate(BASE_KINDS)])
+    return F.concat(*[bare(matches(full, kind, rank)) for rank, kind in enumerate(BASE_KINDS)])
 
 
 def labelled_strings(docs: DataFrame, max_documents: int) -> tuple[DataFrame, DataFrame]:
@@ -150,9 +217,9 @@ def labelled_strings(docs: DataFrame, max_documents: int) -> tuple[DataFrame, Da
         return F.filter(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)), lambda v: F.length(v) >= kind.least)
 
     values = F.concat(*[values_of(kind) for kind in BASE_KINDS])
-    bare = F.regexp_replace(F.regexp_replace(text, BASE_KINDS[0].pattern, " "), "|".join(k.look for k in BASE_KINDS[1:]), " ")
+    rest = F.regexp_replace(F.regexp_replace(text, BASE_KINDS[0].pattern, " "), "|".join(k.look for k in BASE_KINDS[1:]), " ")
     random = hits.select(F.explode(F.array_distinct(values)).alias("word")).distinct()
-    names = some.select(F.explode(F.array_distinct(F.regexp_extract_all(bare, F.lit(NAME), F.lit(0)))).alias("word")).distinct()
+    names = some.select(F.explode(F.array_distinct(F.regexp_extract_all(rest, F.lit(NAME), F.lit(0)))).alias("word")).distinct()
     return random, names
 
 
@@ -165,44 +232,51 @@ def scan_secrets(
     and those strings of 16 or more token characters, overlapping none of them, whose
     log-likelihood ratio is at least ``threshold``. The models are fitted on the column
     ``word`` of ``random`` and ``names``; by default on strings of the documents, see
-    ``labelled_strings``. A null or empty text has no spans; repeated rows get a row each.
+    ``labelled_strings``. A null or empty text has no spans; repeated rows get a row each;
+    an empty table gives an empty result. The work grows with a text's length and with
+    n log n of its matches.
     """
     if random is None or names is None:
         own_random, own_names = labelled_strings(docs, max_documents)
         random, names = random if random is not None else own_random, names if names is not None else own_names
     ratios = log_ratios(transitions(random), transitions(names))
     text = F.coalesce(F.col("text"), F.lit(""))
-    rest = [c for c in docs.columns if c not in ("base_spans", "spans")]
-    based = docs.select(*rest, F.array_sort(base_spans(F.col("text"))).alias("base_spans"))
-    candidates = matches(text, RANDOM, len(BASE_KINDS))
+    rest = [docs[c] for c in docs.columns if c.lower() not in ("base_spans", "spans")]
+    based = docs.select(*rest, F.array_sort(base_spans(docs["text"])).alias("base_spans"))
     free = F.filter(
-        candidates,
-        lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & (likelihood_ratio(F.substring(text, s["start"] + 1, s["end"] - s["start"]), ratios) >= threshold),
-    )
-    return based.select(*rest, "base_spans", F.array_sort(F.concat("base_spans", free)).alias("spans"))
+        apart(matches(text, RANDOM, len(BASE_KINDS)), F.col("base_spans")), lambda s: likelihood_ratio(s["word"], ratios) >= threshold
+    )
+    return based.select("*", F.array_sort(F.concat("base_spans", bare(free))).alias("spans"))
 
 
 def masked(text: Column, spans: Column, mask: str) -> Column:
-    """The text with every span, overlapping ones together, replaced by ``mask``."""
-    state = "struct<at:int,out:string>"
+    """The text with every span, overlapping ones together, replaced by ``mask``.
 
-    def step(acc: Column, s: Column) -> Column:
-        new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        apart = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, new).otherwise(acc["out"]).alias("out")
-        ).cast(state)
+    Spans are sorted by start. What lies between them is cut from blocks of the text.
+    """
+
+    def between(blocks: Column, first: Column, last: Column) -> Column:
+        low = F.floor(first / CHARACTERS).cast("int")
+        some = F.slice(blocks, low + 1, F.floor((last - 1) / CHARACTERS).cast("int") - low + 1)
+        return F.when(last > first, F.substring(F.array_join(some, ""), first - low * CHARACTERS + 1, last - first)).otherwise("")
+
+    def pieces(x: Column) -> Column:
+        ends = x["ends"]
+        before = lambda k: F.when(k > 0, ends[k - 1]).otherwise(0)
+        gaps = F.transform(spans, lambda s, k: F.when(s["start"] >= before(k), between(x["blocks"], before(k), s["start"])))
+        tail = between(x["blocks"], F.element_at(ends, -1), x["size"])
+        return F.array_join(F.concat(F.filter(gaps, lambda g: g.isNotNull()), F.array(tail)), mask)
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state)
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1," + str(CHARACTERS) + "}"), F.lit(0))
+    parts = F.struct(running(F.transform(spans, lambda s: s["end"]), F.greatest).alias("ends"), blocks.alias("blocks"), F.length(text).alias("size"))
+    return F.when(F.size(spans) > 0, held(parts, pieces)).otherwise(text)
 
 
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     """The rows of ``docs`` with secrets masked in the text; n_chars follows the new text.
 
-    Every other column stays as it is, whatever its name.
+    Every other column stays as it is, whatever its name. Null and empty texts stay,
+    repeated rows are masked alike, and an empty table gives an empty result.
     """
     rows, back = aside(docs, ("base_spans", "spans"))
     found = scan_secrets(rows, **options).withColumn("text", masked(F.col("text"), F.col("spans"), mask))

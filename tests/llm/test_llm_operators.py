@@ -3,12 +3,15 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -23,7 +26,7 @@ from creditloom.llm.packing import pack
 from creditloom.llm.passages import repeated_passages
 from creditloom.llm.quality_rules import quality_rules
 from creditloom.llm.rule_ensemble import classify_quality
-from creditloom.llm.secrets import mask_secrets, scan_secrets
+from creditloom.llm.secrets import apart, mask_secrets, running, scan_secrets
 from creditloom.llm.token_files import read_token_files, write_token_files
 from creditloom.llm.tokens import TokenCoder, vocabulary_path
 from creditloom.session import scratch_dir
@@ -557,6 +560,40 @@ def test_secrets_of_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert mask_secrets(no_docs).collect() == []
 
 
+def test_texts_of_many_secrets(spark):
+    draw = random.Random(17)
+    word = lambda: "".join(draw.choice("0123456789abcdef") for _ in range(33))
+    long = "\n".join(f"é {word()} key {draw.choice('gh')}Zq8{word()[:20]}Wx token={word()[:9]}" for _ in range(12_000))
+    docs = spark.createDataFrame([(1, long, "en", "s", len(long)), (2, "no secret", "en", "s", 9)], DOCS).withColumn("Spans", F.lit(1)).cache()
+    random_, names = secret_models(spark)
+    began = time.perf_counter()
+    found = {r.doc_id: r for r in scan_secrets(docs, random_, names).drop("text").collect()}
+    assert time.perf_counter() - began < 30
+    assert [(s.start, s.rank, s.end, s.kind) for s in found[1].base_spans] == base_spans(long)
+    spans, at, out = [(s.start, s.end) for s in found[1].spans], 0, []
+    for start, end in spans:
+        if start >= at:
+            out += [long[at:start], "[SECRET]"]
+        at = max(at, end)
+    for s in found[1].spans:
+        assert s.kind != "random" or not any(b.start < s.end and s.start < b.end for b in found[1].base_spans[:50])
+    clean = mask_secrets(docs, random=random_, names=names)
+    assert clean.columns == docs.columns
+    assert {r.doc_id: r.text for r in clean.collect()} == {1: "".join([*out, long[at:]]), 2: "no secret"}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 400), st.integers(1, 9)), max_size=40), st.lists(st.tuples(st.integers(0, 400), st.integers(1, 9)), max_size=300))
+def test_candidates_apart_from_spans(spark, spans, candidates):
+    both = [[{"start": a, "end": a + n} for a, n in sorted(x)] for x in (spans, candidates)]
+    kind = "array<struct<start:int,end:int>>"
+    frame = spark.createDataFrame([tuple(both)], f"spans {kind}, candidates {kind}")
+    got = frame.select(apart(F.col("candidates"), F.col("spans")).alias("free"), running(F.col("candidates.end"), F.greatest).alias("top")).first()
+    overlap = lambda c: any(b["start"] < c["end"] and c["start"] < b["end"] for b in both[0])
+    assert [r.asDict() for r in got.free] == [c for c in both[1] if not overlap(c)]
+    assert got.top == list(accumulate((c["end"] for c in both[1]), max))
+
+
 def test_registered_secret_scan(spark, sf_dir):
     rows = LLM_QUERIES["op9_secret_scan"](spark, sf_dir)
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
