@@ -18,6 +18,7 @@ import pyarrow as pa
 from creditloom.llm.words import utf8
 
 GROUP = 200
+ASCII_SPACE = np.asarray([k < 0x80 and chr(k).isspace() for k in range(256)])
 # bytes of text to encode at once: the more, the fewer words are looked up or encoded again
 TEXT_BYTES = 6_000_000
 
@@ -37,6 +38,16 @@ def doubtful(part: bytes) -> bool:
     return text[:1].isspace() and (len(text) == 1 or text[0] != " " or text[1].isspace())
 
 
+def doubtful_parts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``doubtful`` for all parts (none is empty): two bytes tell, unless they begin other characters."""
+    size, first = np.diff(at), data[at[:-1]]
+    second = data[np.minimum(at[:-1] + 1, len(data) - 1)]
+    bad = ASCII_SPACE[first] & ((first != 0x20) | (size == 1) | ASCII_SPACE[second])
+    for k in np.flatnonzero((first >= 0x80) | ((first == 0x20) & (size > 1) & (second >= 0x80))).tolist():
+        bad[k] = doubtful(data[at[k] : at[k] + 8][: size[k]].tobytes())
+    return bad
+
+
 def part_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """First bytes of the parts: those of texts, spaces, and bytes after a line break."""
     first = np.zeros(len(data) + 1, dtype=bool)
@@ -77,17 +88,21 @@ class TokenCoder:
         """The ids of each part, as bytes of 32-bit integers."""
         if len(self.known) + len(parts) > self.keep:
             self.older, self.known = self.known, {}
-        known, older, fresh = self.known, self.older, []
-        for part in parts:
-            if part not in known:
-                code = older.get(part)
-                if code is None:
-                    fresh.append(part)
-                else:
-                    known[part] = code
+        known, older = self.known, self.older
+        codes = list(map(known.get, parts))
+        missing = [k for k, code in enumerate(codes) if code is None]
+        fresh = []
+        for k in missing:
+            code = older.get(parts[k])
+            if code is None:
+                fresh.append(parts[k])
+            else:
+                known[parts[k]] = code
         self._learn([p for p in fresh if p[:1] == b" "], GROUP)
         self._learn([p for p in fresh if p[:1] != b" "], 1)
-        return [known[p] for p in parts]
+        for k in missing:
+            codes[k] = known[parts[k]]
+        return codes
 
     def _learn(self, parts: list[bytes], together: int) -> None:
         """Encodes new parts, so many as one text, and tells their tokens apart by width."""
@@ -121,7 +136,7 @@ class TokenCoder:
         ids = flat[np.repeat((np.cumsum(size) - size)[index] - sums[:-1], counts) + np.arange(sums[-1])]
         ends = sums[at]
 
-        bad = np.fromiter(map(doubtful, parts), dtype=bool, count=len(parts))
+        bad = doubtful_parts(*utf8(coded.dictionary))
         if not bad.any():
             return ids, ends
         sums = np.concatenate([[0], np.cumsum(bad[index])])

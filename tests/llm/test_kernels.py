@@ -13,11 +13,11 @@ from creditloom.llm.langid import classify, grams, letter_table
 from creditloom.llm.neardup import shingle_sets
 from creditloom.llm.packing import cut_lengths
 from creditloom.llm.passages import chunks, common_run, common_runs, passage_hashes
-from creditloom.llm.rule_ensemble import apply_rules, extract_rules, lasso_logistic
+from creditloom.llm.rule_ensemble import apply_rules, extract_rules, lasso_logistic, train
 from creditloom.llm.stats import count_statistics
 from creditloom.llm.token_files import Segment, encode_segment
-from creditloom.llm.tokens import TokenCoder, vocabulary_path
-from creditloom.llm.trees import boost, flatten
+from creditloom.llm.tokens import TokenCoder, doubtful, doubtful_parts, vocabulary_path
+from creditloom.llm.trees import boost, flatten, sigmoid
 from creditloom.llm.words import line_bounds, slices, span_hashes, utf8, word_bounds
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -125,7 +125,7 @@ def test_language_grams():
     ids, at = grams(["ab", "AB", "a1b", "", "12 3", "日"], letters, 12)
     assert ids[at[0] : at[1]].tolist() == ids[at[1] : at[2]].tolist()
     assert np.diff(at)[3] == np.diff(at)[4] == 0 and np.diff(at)[5] > 0
-    best, score = classify(ids, at, np.zeros((1 << 12, 0)))
+    best, _, score = classify(ids, at, np.zeros((1 << 12, 0)))
     assert best.tolist() == [0] * 6 and score.tolist() == [0, 0, 0, 1, 1, 0]
 
 
@@ -179,6 +179,40 @@ def test_trees_learn_and_keep_to_directions():
     assert boost(np.zeros((0, 3)), np.zeros(0), [0] * 3) == ([], 0.0)
 
 
+def test_forest_against_a_walk_of_its_trees():
+    draw = np.random.default_rng(5)
+    x = np.round(draw.random((600, 4)), 1)
+    trees, base = boost(x, (x[:, 0] + x[:, 2] > draw.random(600) * 2).astype(float), [1, 0, -1, 0], trees=12)
+
+    def leaf(tree, row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] if row[tree.feature[node]] <= tree.threshold[node] else tree.right[node]
+        return tree.value[node]
+
+    walked = [base + sum(leaf(tree, row) for tree in trees) for row in x]
+    assert flatten(trees, 3, base).margin(x) == pytest.approx(walked, rel=1e-12)
+
+
+def test_compiled_rules_equal_the_matrix(spark):
+    draw = np.random.default_rng(6)
+    x = np.round(draw.random((400, 3)), 1)
+    y = ((x[:, 0] > 0.3) & (x[:, 1] <= 0.6)).astype(float)
+    model = train(x, y, ["a", "b", "c"], trees=10)
+    assert len(model.rules) > 1
+    frame = spark.createDataFrame([(k, *map(float, row)) for k, row in enumerate(x)], "k int, a double, b double, c double")
+    got = [r.score for r in frame.withColumn("score", model.column()).orderBy("k").collect()]
+    expected = sigmoid(apply_rules(x, model.rules) @ np.asarray(model.weights) + model.intercept)
+    assert got == pytest.approx(expected.tolist(), rel=1e-12)
+
+
+@given(st.lists(st.text(" \n\t\x1c\u00a0\u2003éa1", min_size=1, max_size=5), min_size=1, max_size=30))
+def test_doubtful_parts(parts):
+    raw = [p.encode() for p in parts]
+    at = np.cumsum([0, *map(len, raw)])
+    assert doubtful_parts(np.frombuffer(b"".join(raw), np.uint8), at).tolist() == [doubtful(p) for p in raw]
+
+
 def test_rules_are_the_paths_of_trees():
     draw = np.random.default_rng(1)
     x = draw.random((2000, 2))
