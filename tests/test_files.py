@@ -1,5 +1,6 @@
 """Files at scale: headers in one job, filters that reach the reader, one pass for both outcomes, versions."""
 
+import gzip
 import random
 import re
 
@@ -171,3 +172,19 @@ def test_stored_views_equal_the_frames(spark):
         assert newest.count() == 1 and "PartitionFilters: [isnotnull(snapshot_date" in plan_of(newest)
     finally:
         spark.sql("DROP DATABASE wv CASCADE")
+
+
+def test_a_header_is_read_without_its_file(spark, tmp_path):
+    """Of a file of many lines only the header's are decoded; a packed file is unpacked."""
+    (tmp_path / "long.csv").write_bytes(b'a,"b\nc"\n' + b"1,2\n" * 1000 + b"\xff\n")
+    with gzip.open(tmp_path / "p.csv.gz", "wt") as packed:
+        packed.write("x,y\n1,2\n")
+    spark.sparkContext.setJobGroup("first lines", "")
+    try:
+        rows = scans.header_lines(spark, [str(tmp_path / "long.csv"), str(tmp_path / "p.csv.gz")])
+        plan = plan_of(rows)
+        assert [r.header for r in rows.collect()] == ['a,"b\nc"', "x,y"]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # no scan of the files, whose rows all pass a task
+    assert "FileScan" not in plan and "MapInArrow" not in plan
