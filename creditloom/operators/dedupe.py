@@ -7,7 +7,7 @@ shuffle: every input partition sends at most one row per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,58 +55,65 @@ def rows_sharing_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(repeated, match, "left_semi")
 
 
-def contested_rows(df: DataFrame, keys: Sequence[str], slice_rows: int = 100_000) -> DataFrame:
-    """Rows whose key is on several rows, marked with the slice of the key they belong to.
+def quarantine(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    tie_break: Sequence[str] | None = None,
+    *,
+    typed: Callable[[DataFrame], DataFrame] | None = None,
+    slice_rows: int = 100_000,
+) -> DataFrame:
+    """The rows ``keep_latest`` leaves out: together the two are the whole input.
+
+    ``typed`` is applied to the rows whose key is on several rows, ahead of the ranking and
+    to no others; it leaves the keys as they are.
 
-    Keys on one row cannot lose a ranking and are put aside here. A key gets a slice for
-    every ``slice_rows`` of its rows. A row's slice comes from its content and its input
-    split, so that exact copies part too; the number behind it is taken ahead of the
-    join, which gathers a key. Any assignment gives the same result, and a repeated task
-    makes the same one.
+    Rows go through one shuffle, by key. Keys with more than ``slice_rows`` rows, of which there
+    are at most a ``slice_rows``-th of all rows, are counted beforehand and ranked apart.
     """
-    content = [c for c in df.columns if c not in keys]
-    repeated = repeated_keys(df, keys).select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("n").alias("_n"))
+    typed = typed or (lambda rows: rows)
+    # few, see above; an empty list leaves the second scan of the input out
+    hot = F.broadcast(repeated_keys(df, keys).filter(F.col("n") > slice_rows).select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("n").alias("_n")))
     match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    rows = df.withColumn("_turn", F.xxhash64(F.spark_partition_id(), *content)).join(repeated, match)
+
+    one_key = Window.partitionBy(*keys)
+    cold = df.join(hot, match, "left_anti").withColumn("_n", F.count(F.lit(1)).over(one_key))
+    contested = typed(cold.filter("_n > 1").drop("_n"))
+    ranking = _latest_first(contested, keys, order_by, tie_break)
+    lost = contested.withColumn("_rank", F.row_number().over(one_key.orderBy(*ranking))).filter("_rank > 1").drop("_rank")
+    return lost.unionByName(losing_rows(typed(_sliced(df, keys, hot, match, slice_rows)), keys, ranking))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], hot: DataFrame, match: Sequence[Column], slice_rows: int) -> DataFrame:
+    """The rows of the keys ``hot``, with ``_slice``: a key gets a slice for every ``slice_rows`` of its rows.
+
+    A row's slice comes from its content and its input split, so that exact copies part too.
+    Any assignment gives the same result, and a repeated task makes the same one.
+    """
+    turn = F.xxhash64(F.spark_partition_id(), *[c for c in df.columns if c not in keys])
     piece = F.pmod("_turn", F.ceil(F.col("_n") / slice_rows)).cast("int")
-    return rows.select(*df.columns, piece.alias("_slice"))
+    return df.withColumn("_turn", turn).join(hot, match).select(*df.columns, piece.alias("_slice"))
 
 
-def losing_rows(
-    contested: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    tie_break: Sequence[str] | None = None,
-) -> DataFrame:
-    """Of ``contested_rows``, all but the best row per key.
+def losing_rows(sliced: DataFrame, keys: Sequence[str], ranking: Sequence[Column]) -> DataFrame:
+    """Of rows with a ``_slice`` of their key, all but the best row per key.
 
     Ranked in two steps, because a key may have very many rows: first within (key,
     slice), then the best row of each slice competes for the key while all other
     rows stay spread over the slices.
     """
-    plain = contested.drop("_slice")
-    ranking = _latest_first(plain, keys, order_by, tie_break)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*ranking)
     in_pool = Window.partitionBy(*keys, "_pool").orderBy(*ranking)
     return (
-        contested.withColumn("_first", F.row_number().over(in_slice) == 1)
+        sliced.withColumn("_first", F.row_number().over(in_slice) == 1)
         .withColumn("_pool", F.when(F.col("_first"), F.lit(-1)).otherwise(F.col("_slice")))
         .withColumn("_rank", F.row_number().over(in_pool))
         .filter(~(F.col("_first") & (F.col("_rank") == 1)))
-        .select(*plain.columns)
+        .drop("_slice", "_first", "_pool", "_rank")
     )
 
 
-def quarantine(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    tie_break: Sequence[str] | None = None,
-) -> DataFrame:
-    """The rows ``keep_latest`` leaves out: together the two are the whole input."""
-    return losing_rows(contested_rows(df, keys), keys, order_by, tie_break)
-
-
 def ranked_outcomes(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], narrow: Sequence[str], slices: int, outcome: str
 ) -> DataFrame:

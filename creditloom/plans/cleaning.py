@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from creditloom.functions.dates import parse_dates
 from creditloom.functions.numbers import nps_class, to_flag, to_number
 from creditloom.functions.text import title_case
-from creditloom.operators.dedupe import contested_rows, keep_latest, keep_tied, losing_rows, ranked_outcomes
+from creditloom.operators.dedupe import keep_latest, keep_tied, quarantine, ranked_outcomes
 from creditloom.operators.joins import checked_left_join
 from creditloom.operators.rows import drop_blank_rows, normalise_headers, union_aligned
 from creditloom.sources.scans import ORDINAL, SNAPSHOT, numbered
@@ -169,9 +169,8 @@ def rejected(df: DataFrame, source: Source, snapshot_date=None) -> DataFrame:
     keyed = _keyed(df, source, snapshot_date)
     if not set(source.key) <= set(keyed.columns):
         return _typed(keyed, source).drop(ORDINAL).limit(0)
-    contested = _typed(contested_rows(keyed, source.key), source)
-    present = lambda names: [c for c in names if c in contested.columns]
-    return losing_rows(contested, list(source.key), present(source.newest), present([ORDINAL]) or None).drop(ORDINAL)
+    newest, place = ([c for c in names if c in _typed(keyed, source).columns] for names in (source.newest, [ORDINAL]))
+    return quarantine(keyed, source.key, newest, place or None, typed=lambda rows: _typed(rows, source)).drop(ORDINAL)
 
 
 def sorted_out(df: DataFrame, source: Source, snapshot_date=None, slices: int | None = None) -> DataFrame:

@@ -93,3 +93,23 @@ def test_counts_on_a_hot_value(hot):
     assert top.value == "7" and top.n >= N // 3
     assert joins.coverage(hot, hot.filter("k = 7"), "k").first().matched == top.n
     assert rows.fixed_sample(hot, ["i"], 777).count() == 777
+
+
+def test_quarantine_shuffles_its_rows_once(spark, hot, small_partitions):
+    """Keys are counted, then whole rows are shuffled by key; only keys with very many rows are ranked apart."""
+    few = hot.filter("k <> 7")
+    lost = dedupe.quarantine(few, ["k"], ["t"], slice_rows=1000)
+    assert len(values(lost)) == few.count() - few.select("k").distinct().count()
+    final = lost._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the list of hot keys is empty, so its count is gone from the final plan
+    assert final.count("Exchange hashpartitioning(k") == 1 and "_slice" not in final
+    # null keys and exact copies among the hot ones
+    odd = hot.select(F.when(F.col("k") != 7, F.col("k")).alias("k"), "t")
+    lost = dedupe.quarantine(odd, ["k"], ["t"], slice_rows=1000)
+    assert lost.count() == N - odd.distinct().select("k").distinct().count()
+    assert lost.unionByName(dedupe.keep_latest(odd, ["k"], ["t"])).exceptAll(odd).isEmpty()
+
+
+def test_asof_join_merges_its_rows_once(spark, hot, dates):
+    matched = joins.asof_join(hot, dates, key="k", left_time="t", right_time="rt", payload=["p"], partitions=5)
+    assert final_plan(matched.agg(F.count("p"))).split("== Initial Plan ==")[0].count("MapInArrow") == 1
