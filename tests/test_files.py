@@ -9,7 +9,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from creditloom.plans import cleaning
-from creditloom.plans.views import create_stored_views
+from creditloom.plans.views import create_stored_views, survey_sql
 from creditloom.settings import Settings
 from creditloom.sources import scans, sinks
 from creditloom.streaming.versions import VersionedSnapshots
@@ -188,3 +188,15 @@ def test_a_header_is_read_without_its_file(spark, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     # no scan of the files, whose rows all pass a task
     assert "FileScan" not in plan and "MapInArrow" not in plan
+
+
+def test_stored_survey_view_shuffles_what_is_asked_for(spark):
+    spark.sql("SELECT 1L AS loan_id, DATE '2025-01-01' AS snapshot_date, 3L AS days_past_due").createOrReplaceTempView("sv_facts")
+    spark.sql(
+        "SELECT id AS submission_id, 1L AS loan_id, 7 AS nps_score, 'Passive' AS nps_bucket, DATE '2025-01-02' AS submitted_at FROM range(3)"
+    ).createOrReplaceTempView("sv_survey")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW sv AS {survey_sql('sv_facts', 'sv_survey', '2025-04-01', ['days_past_due'])}")
+    assert values(spark.table("sv"), "nps_bucket", "days_past_due") == [("Passive", 3)] * 3
+    counted = spark.sql("SELECT snapshot_date, count(*) FROM sv GROUP BY 1")
+    assert [r[1] for r in counted.collect()] == [3]
+    assert "nps_bucket" not in counted._jdf.queryExecution().optimizedPlan().toString()
