@@ -200,3 +200,15 @@ def test_stored_survey_view_shuffles_what_is_asked_for(spark):
     counted = spark.sql("SELECT snapshot_date, count(*) FROM sv GROUP BY 1")
     assert [r[1] for r in counted.collect()] == [3]
     assert "nps_bucket" not in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_file_is_dated_once(spark, tmp_path):
+    """The date of a file's name is joined to its rows; names with signs of their own are found too."""
+    for name in ("Credit Data - 01-02-2025.csv", "Credit Data - 01-03-2025.csv"):
+        (tmp_path / name).write_text(HEADER + "\nA,1/2/2025,1\nB,1/2/2025,1\n")
+    for name in ("x%é+y 01-04-2025.csv", "x=1,'~ 01-05-2025.csv"):
+        (tmp_path / name).write_text(HEADER + "\nA,1/2/2025,1\n")
+    (frame,) = scans.scan_snapshots(spark, str(tmp_path), "*.csv", r"(\d{2}-\d{2}-\d{4})\.csv", "dd-MM-yyyy")
+    days = frame.groupBy(scans.SNAPSHOT).count().orderBy(scans.SNAPSHOT)
+    assert [(str(d), n) for d, n in values(days)] == [("2025-02-01", 2), ("2025-03-01", 2), ("2025-04-01", 1), ("2025-05-01", 1)]
+    assert "BroadcastHashJoin" in plan_of(days)

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from conftest import values
@@ -6,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from creditloom.functions import numbers
+from creditloom.functions import dates, numbers
 from creditloom.functions.dates import age_years, parse_dates, parse_mixed
 from creditloom.functions.text import missing_to_null, snake_header, title_case
 from creditloom.settings import AtLeast, Band, OneOf, Rule, Settings
@@ -104,6 +105,17 @@ def test_month_first_round_trip(spark, days):
     assert got == days
 
 
+def test_usual_spellings_are_read_as_they_are(spark):
+    """Also with an offset; a column of them is not run through the patterns, and its code is short."""
+    usual = ["1970-01-01T00:00:00+03:00", "2024-02-09T09:39:38.340Z", "1/2/2025", "2024-02-09 09:39:38", "1-2-2025 10:30-0330"]
+    assert all(re.match(dates._PLAIN, text) for text in usual)
+    assert not any(re.match(dates._PLAIN, text) for text in ("1/2/25", "2025/1/2", "20250102", "1/2/2025 3:45 PM", "Jan 1, 2025"))
+    df = column(spark, usual).select(*[F.col("x").alias(f"c{k}") for k in range(6)])
+    plan = parse_dates(df, df.columns)._jdf.queryExecution().optimizedPlan().toString()
+    # the respelling is a lambda, which is evaluated for other texts only
+    assert all("transform(array(" in line for line in plan.splitlines() if "regexp_replace" in line and "Project" in line)
+
+
 def test_parse_dates_of_mixed_column_kinds(spark):
     df = spark.createDataFrame(
         [("1/2/2025", dt.datetime(2025, 1, 2, 3)), (None, None)], "a string, b timestamp"

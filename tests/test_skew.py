@@ -108,3 +108,20 @@ def test_quarantine_shuffles_its_rows_once(spark, hot, small_partitions):
     lost = dedupe.quarantine(odd, ["k"], ["t"], slice_rows=1000)
     assert lost.count() == N - odd.distinct().select("k").distinct().count()
     assert lost.unionByName(dedupe.keep_latest(odd, ["k"], ["t"])).exceptAll(odd).isEmpty()
+
+
+def test_outcomes_shuffle_their_rows_once(spark, hot, small_partitions):
+    """Rows are ranked where one shuffle by key puts them; only keys with very many rows are ranked in slices."""
+    best = [F.col(c).desc_nulls_last() for c in ("t", "i")]
+    few = hot.filter("k <> 7")
+    out = dedupe.ranked_outcomes(few, ["k"], best, ["t", "i"], 8, "o", slice_rows=1000)
+    assert values(out.groupBy("o").count().orderBy("o"))[0] == ("kept", few.select("k").distinct().count())
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(k") == final.count("Exchange ") == 1 and "_slice" not in final
+    # a key with very many rows, null this time, and every row is there once
+    odd = hot.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    both = dedupe.ranked_outcomes(odd, ["k"], best, ["t", "i"], 8, "o", slice_rows=1000)
+    kept = dedupe.keep_latest(odd, ["k"], ["t"], ["i"])
+    assert both.filter("o = 'kept'").drop("o").exceptAll(kept).isEmpty() and both.drop("o").exceptAll(odd).isEmpty()
+    assert values(both.groupBy("o").count().orderBy("o")) == [("kept", kept.count()), ("rejected", N - kept.count())]
