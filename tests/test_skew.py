@@ -5,6 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from creditloom.operators import dedupe, joins, profiling, rows
+from creditloom.plans import cleaning
 
 N = 300_000
 SMALL = {
@@ -125,3 +126,19 @@ def test_outcomes_shuffle_their_rows_once(spark, hot, small_partitions):
     kept = dedupe.keep_latest(odd, ["k"], ["t"], ["i"])
     assert both.filter("o = 'kept'").drop("o").exceptAll(kept).isEmpty() and both.drop("o").exceptAll(odd).isEmpty()
     assert values(both.groupBy("o").count().orderBy("o")) == [("kept", kept.count()), ("rejected", N - kept.count())]
+
+
+def test_ties_are_decided_in_the_order_of_the_first_ranking(spark, small_partitions):
+    """The rows that tie are aggregated as the first ranking left them: one shuffle, and one sort behind it."""
+    rows = [(None if k % 31 == 0 else f"L{k % 30}", f"{1 + k % 3}/1/2024", None if k % 5 == 0 else str(k % 40), str(k % 7)) for k in range(900)]
+    raw = spark.createDataFrame(rows, "LOAN_ID string, SALE_DATE string, CASH_PRICE string, SALE_ID string")
+    raw = raw.repartition(5)
+    source = cleaning.SOURCES["sales"]
+    out = cleaning.clean(raw, source)
+    typed = cleaning._typed(cleaning._keyed(raw, source), source)
+    best = dedupe.keep_latest(typed, ["loan_id"], ["sale_date"])
+    assert sorted(values(out, *best.columns), key=str) == sorted(values(best), key=str) and out.count() == 31
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    behind = final[: final.index("hashpartitioning(loan_id")]
+    assert behind.count("Sort [") == 1 and "SortAggregate" in behind
