@@ -69,55 +69,92 @@ def asof_join(
     One output row per left row, with nulls where nothing matches or key or time is null. Of right
     rows with equal key and time the one highest in ``payload`` counts (nulls lowest).
 
-    Both sides go through one range shuffle by (key, time) and are merged there: the last right row
-    seen so far is the match, so no pairs are formed and a key with any share of the rows
-    spans as many of the ``partitions`` (by default the session's) as it fills. What a partition
-    ends with is carried to those after it by a scan over one row a partition.
+    Both sides go through one range shuffle by key and a window over a key's rows by time: the last
+    right row seen so far is the match, so no pairs are formed. Keys with more rows than one of the
+    ``partitions`` (by default the session's) should have are merged apart, by ``_merged_in_ranges``.
+    They are told by quantiles of the keys' hashes; an empty list of them leaves their scan out.
     """
     at = F.col(left_time) if isinstance(left_time, str) else left_time
     timed = left.withColumn("_at", at)
     can_match = F.col(key).isNotNull() & F.col("_at").isNotNull()
     known = right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull())
     found = F.struct(right_time, *payload)
-    # the input split parts equal left rows; right rows need no parting beyond their payload
-    turn = F.xxhash64(F.spark_partition_id(), *left.columns)
+    # single columns, so that those a reader does not ask for are not shuffled
+    own = {f"_l{i}": c for i, c in enumerate(left.columns)}
     questions = timed.filter(can_match).select(
-        F.col(key).alias("_k"), F.col("_at").alias("_time"), F.lit(1).alias("_side"), turn.alias("_turn"), F.struct(*left.columns).alias("_row")
+        F.col(key).alias("_k"), F.col("_at").alias("_time"), F.lit(1).alias("_side"), *[F.col(c).alias(n) for n, c in own.items()]
     )
-    answers = known.select(F.col(key).alias("_k"), F.col(right_time).alias("_time"), F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_turn"), found.alias("_found"))
-    merged = questions.unionByName(answers, allowMissingColumns=True)
+    answers = known.select(F.col(key).alias("_k"), F.col(right_time).alias("_time"), F.lit(0).alias("_side"), found.alias("_found"))
+    merged = questions.unionByName(answers, allowMissingColumns=True).withColumn("_hash", F.hash("_k"))
+    count = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(_frequent_hashes(merged, count))
+    match = F.col("_hash") == F.col("_h")
+
+    cold = merged.join(hot, match, "left_anti").repartitionByRange(*([partitions] if partitions else []), "_k")
+    so_far = Window.partitionBy("_k").orderBy("_time", "_side", "_found").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = cold.withColumn("_match", F.last("_found", ignorenulls=True).over(so_far)).filter("_side = 1").select(*own, "_match")
+    both = seen.unionByName(_merged_in_ranges(merged.join(hot, match, "left_semi"), list(own), count))
+    matched = both.select(*[F.col(n).alias(c) for n, c in own.items()], *[F.col("_match")[c].alias(c) for c in (right_time, *payload)])
+    return matched.unionByName(left.withColumn("_at", at).filter(~can_match).drop("_at"), allowMissingColumns=True)
+
+
+def _frequent_hashes(rows: DataFrame, parts: int) -> DataFrame:
+    """Hashes ``_h`` of the keys that have one of ``parts`` equal shares of the rows, and none with less than half of one.
+
+    A value on that many rows is met by two quantiles in a row; these are exact to 53 bits only,
+    hence hashes of 32. One row a task is sent.
+    """
+    points = min(2 * parts, 1000)
+    if parts < 2:
+        return rows.select(F.col("_hash").alias("_h")).limit(0)
+    quantiles = F.percentile_approx("_hash", [(i + 0.5) / points for i in range(points)], 10_000)
+    again = F.filter("q", lambda h, i: (i > 0) & (h == F.get("q", i - 1)))
+    return rows.agg(quantiles.alias("q")).select(F.explode(F.array_distinct(again)).alias("_h"))
+
+
+def _merged_in_ranges(merged: DataFrame, own: list[str], count: int) -> DataFrame:
+    """The columns ``own`` of left rows with ``_match``, where a key may have any share of the rows.
+
+    Rows go through one range shuffle by (key, time), so a key spans as many of ``count`` partitions
+    as it fills. What a partition ends with is carried to those after it by a scan over one row
+    a partition. Rows know their partition by its first row: a task's number depends on what
+    the result is united with.
+    """
+    # the input split parts equal left rows; right rows need no parting beyond their payload
+    turn = F.when(F.col("_side") == 1, F.xxhash64(F.spark_partition_id(), *own)).otherwise(F.lit(0).cast("long"))
+    row = F.when(F.col("_side") == 1, F.struct(*own))
     order = ["_k", "_time", "_side", "_found", "_turn"]
+    placed = merged.select("_k", "_time", "_side", turn.alias("_turn"), row.alias("_row"), "_found")
     # a given number of partitions is not changed while the query runs, so both readers below see the same ones
-    count = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = merged.repartitionByRange(count, *order).sortWithinPartitions(*order).select("_k", "_side", "_row", "_found")
+    place = F.xxhash64(*order).alias("_place")
+    placed = placed.repartitionByRange(count, *order).sortWithinPartitions(*order).select("_k", "_side", "_row", "_found", place)
     types = {f.name: f.dataType for f in placed.schema.fields}
     schema = T.StructType([
-        T.StructField("_row", types["_row"]), T.StructField("_match", types["_found"]), T.StructField("_part", T.IntegerType()), T.StructField("_open", T.BooleanType()),
-        T.StructField("_first", types["_k"]), T.StructField("_last", types["_k"]),
+        T.StructField("_row", types["_row"]), T.StructField("_match", types["_found"]), T.StructField("_part", T.IntegerType()), T.StructField("_place", T.LongType()),
+        T.StructField("_open", T.BooleanType()), T.StructField("_first", types["_k"]), T.StructField("_last", types["_k"]),
     ])
     filled = placed.mapInArrow(_filled_forward, schema)
 
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     ends = filled.filter("_row IS NULL").withColumn("_end", F.when(F.col("_match").isNotNull(), F.struct("_last", "_match")))
     carried = ends.withColumn("_end", F.last("_end", ignorenulls=True).over(earlier)).filter(F.col("_end")["_last"] == F.col("_first")).select(
-        F.col("_part").alias("_for"), F.col("_end")["_match"].alias("_carried")
+        F.col("_place").alias("_for"), F.col("_first").alias("_key"), F.col("_end")["_match"].alias("_carried")
     )
     # one row a partition
-    joined = filled.filter("_row IS NOT NULL").join(F.broadcast(carried), F.col("_open") & (F.col("_part") == F.col("_for")), "left")
-    match = F.coalesce("_match", "_carried")
-    names = [right_time, *payload]
-    matched = joined.withColumn("_match", match).select("_row.*", *[F.col("_match")[c].alias(c) for c in names])
-    return matched.unionByName(left.withColumn("_at", at).filter(~can_match).drop("_at"), allowMissingColumns=True)
+    same = F.col("_open") & (F.col("_place") == F.col("_for")) & (F.col("_first") == F.col("_key"))
+    joined = filled.filter("_row IS NOT NULL").join(F.broadcast(carried), same, "left")
+    return joined.withColumn("_match", F.coalesce("_match", "_carried")).select("_row.*", "_match")
 
 
 def _filled_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Left rows of a sorted partition with the last right row of their key before them.
 
     Rows of the partition's first key ahead of its first right row are open: earlier
-    partitions may have their match. A last row without a left row tells the first and
-    the last key, and the last key's last right row.
+    partitions may have their match; ``_first`` is a left row's own key. A last row without a left
+    row tells the first and the last key, and the last key's last right row.
     """
-    part, first, last, carry = TaskContext.get().partitionId(), None, None, None
+    part, place, first, last, carry = TaskContext.get().partitionId(), None, None, None, None
+    names = ["_row", "_match", "_part", "_place", "_open", "_first", "_last"]
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -127,14 +164,14 @@ def _filled_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         fresh[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)
         fresh[0] = last is None or not keys[0].equals(last)
         if first is None:
-            first, carry = keys[0], pa.nulls(1, found.type)
+            first, place, carry = keys[0], batch.column("_place")[0].as_py(), pa.nulls(1, found.type)
         begins = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
         is_left = batch.column("_side").to_numpy() == 1
         seen = np.maximum.accumulate(np.where(is_left, -1, np.arange(n)))
         # 0 stands for the carried row, which serves rows of the key that the last batch ended with
         here = (seen >= begins) & (seen >= 0)
-        place = pa.array(np.where(here, seen + 1, 0), mask=~here & (begins >= 0))
-        match = pa.concat_arrays([carry, found]).take(place)
+        source = pa.array(np.where(here, seen + 1, 0), mask=~here & (begins >= 0))
+        match = pa.concat_arrays([carry, found]).take(source)
         # no right row yet in this partition, and still its first key
         is_open = match.is_null().to_numpy(zero_copy_only=False) & (pc.equal(keys, first).to_numpy(zero_copy_only=False))
         kept = np.flatnonzero(is_left)
@@ -142,13 +179,13 @@ def _filled_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if m:
             take = pa.array(kept)
             yield pa.RecordBatch.from_arrays(
-                [rows.take(take), match.take(take), pa.array(np.full(m, part, np.int32)), pa.array(is_open[kept]), pa.nulls(m, kind), pa.nulls(m, kind)],
-                ["_row", "_match", "_part", "_open", "_first", "_last"],
+                [rows.take(take), match.take(take), pa.nulls(m, pa.int32()), pa.array(np.full(m, place, np.int64)), pa.array(is_open[kept]), keys.take(take), pa.nulls(m, kind)],
+                names,
             )
         carry, last = match.slice(n - 1), keys[n - 1]
     if first is not None:
-        ends = [pa.nulls(1, rows.type), carry, pa.array([part], pa.int32()), pa.array([False]), pa.array([first.as_py()], kind), pa.array([last.as_py()], kind)]
-        yield pa.RecordBatch.from_arrays(ends, ["_row", "_match", "_part", "_open", "_first", "_last"])
+        ends = [pa.nulls(1, rows.type), carry, pa.array([part], pa.int32()), pa.array([place], pa.int64()), pa.array([False]), pa.array([first.as_py()], kind), pa.array([last.as_py()], kind)]
+        yield pa.RecordBatch.from_arrays(ends, names)
 
 
 def coverage(

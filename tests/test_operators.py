@@ -183,6 +183,31 @@ def test_asof_join_of_odd_rows(spark):
     assert {r.v for r in joins.asof_join(a, b.limit(0), key="k", left_time="t", right_time="rt", payload=["v"]).collect()} == {None}
 
 
+def test_asof_join_merges_ordinary_keys_in_one_window(spark):
+    """A count needs no merge, and ordinary rows do not pass Python."""
+    left = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("t"))
+    right = spark.range(1000).select((F.col("id") % 500).alias("k"), F.col("id").alias("rt"), F.col("id").alias("v"))
+    out = joins.asof_join(left, right, key="k", left_time="t", right_time="rt", payload=["v"], partitions=4)
+    expected = [(t, max(v for v in (t % 500, t % 500 + 500) if v <= t)) for t in range(2000)]
+    assert sorted(values(out, "t", "v")) == expected
+    counted = out.agg(F.count(F.lit(1)))
+    assert values(counted) == [(2000,)]
+    for frame, windows in ((out, True), (counted, False)):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert ("Window" in plan.split("EmptyRelation")[0]) == windows and "EmptyRelation" in plan
+
+
+def test_asof_join_of_a_hot_key_behind_other_rows(spark):
+    """The tasks of a union are numbered through; what is carried between partitions still finds its rows."""
+    left = spark.range(3000).select(F.lit(7).alias("k"), F.col("id").alias("t"))
+    right = spark.createDataFrame([(7, 10, 1), (7, 2500, 2)], "k int, rt long, v int")
+    out = joins.asof_join(left, right, key="k", left_time="t", right_time="rt", payload=["v"], partitions=9)
+    other = spark.range(0, 100, 1, 5).select(F.lit(0).alias("k"), F.lit(-1).cast("long").alias("t"), F.lit(None).cast("long").alias("rt"), F.lit(None).cast("int").alias("v"))
+    found = sorted(values(other.unionByName(out).filter("k = 7"), "t", "v"))
+    assert found == [(t, None if t < 10 else 1 if t < 2500 else 2) for t in range(3000)]
+
+
 def test_coverage_and_unmatched(spark):
     left = spark.createDataFrame([("A",), ("A",), ("B",), (None,), ("D",)], "k string")
     right = spark.createDataFrame([("A",), ("A",), ("C",), (None,)], "k string")
