@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import threading
 
 import pytest
 from conftest import values
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import dedupe, joins, kpis, rows
 from creditloom.operators.audit import AuditLog
+from creditloom.session import side_by_side
 
 
 def plan(df):
@@ -310,3 +312,26 @@ def test_audit_counts_rows_in_passing(spark, tmp_path):
     log.append_to(spark, str(tmp_path / "log"))
     got = {(r.step, r.metric): r.value for r in spark.read.json(str(tmp_path / "log")).collect()}
     assert got == {("load", "started"): 1, ("load", "rows"): 10, ("load", "duration_seconds"): 2.5}
+
+
+def test_steps_side_by_side(spark, tmp_path):
+    """Calls overlap, keep their order and the caller's local properties; logs of parts count their own rows."""
+    meet = threading.Barrier(2, timeout=60)
+    spark.sparkContext.setLocalProperty("side.by.side", "yes")
+    log = AuditLog("r1")
+    parts = [log.part(), log.part()]
+
+    def work(k):
+        with parts[k].step(f"step{k}"):
+            meet.wait()
+            parts[k].watch(spark.range(10 + k), f"step{k}").write.parquet(str(tmp_path / f"t{k}"))
+            meet.wait()
+        return k, spark.sparkContext.getLocalProperty("side.by.side")
+
+    assert side_by_side(spark, lambda: work(0), lambda: work(1)) == [(0, "yes"), (1, "yes")]
+    for part in parts:
+        log.take(part)
+    kept = [r for r in values(log.frame(spark), "seq", "step", "metric", "value") if r[2] == "rows"]
+    assert kept == [(1, "step0", "rows", 10.0), (4, "step1", "rows", 11.0)]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, lambda: 1 / 0, lambda: 1)
