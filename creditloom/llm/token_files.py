@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 
 from creditloom.llm.tables import small_batches
 from creditloom.llm.tokens import TEXT_BYTES, shared_coder, vocabulary_path
-from creditloom.llm.words import slices
+from creditloom.llm.words import gathered
 
 BLOCK = 256
 MAGIC = b"PFR1"
@@ -152,16 +152,15 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
             names.clear(), parts.clear(), ends.clear()
             return pa.RecordBatch.from_arrays(row, schema.names)
 
-        for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", TEXT_BYTES):
-                ids, at = coder.encode_ending(part.column("text"), end)
-                for k, name in enumerate(part.column("doc_id").to_pylist()):
-                    names.append(name)
-                    parts.append(ids[at[k] : at[k + 1]])
-                    ends.append((ends[-1] if ends else 0) + len(parts[-1]))
-                    if ends[-1] >= segment_ids:
-                        yield close()
+        for part in gathered(batches, "text", TEXT_BYTES):
+            id_type = part.schema.field("doc_id").type
+            ids, at = coder.encode_ending(part.column("text"), end)
+            for k, name in enumerate(part.column("doc_id").to_pylist()):
+                names.append(name)
+                parts.append(ids[at[k] : at[k + 1]])
+                ends.append((ends[-1] if ends else 0) + len(parts[-1]))
+                if ends[-1] >= segment_ids:
+                    yield close()
         if ends:
             yield close()
 

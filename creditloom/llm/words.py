@@ -62,6 +62,20 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         first = last
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, in order, in parts of about ``limit`` bytes at most or one row."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column, limit):
+            if held and size + part.nbytes > limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and the offsets of each text's words among them."""
     if not len(data):

@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,9 @@ from creditloom.llm.passages import chunks, common_run, common_runs, passage_has
 from creditloom.llm.rule_ensemble import apply_rules, extract_rules, lasso_logistic, train
 from creditloom.llm.stats import count_statistics
 from creditloom.llm.token_files import Segment, encode_segment
-from creditloom.llm.tokens import TokenCoder, doubtful, doubtful_parts, vocabulary_path
+from creditloom.llm.tokens import TokenCoder, doubtful, doubtful_parts, letter_bytes, vocabulary_path
 from creditloom.llm.trees import boost, flatten, sigmoid
-from creditloom.llm.words import line_bounds, slices, span_hashes, utf8, word_bounds
+from creditloom.llm.words import gathered, line_bounds, slices, span_hashes, utf8, word_bounds
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 ODD = st.lists(st.one_of(st.none(), st.text(alphabet="aAb \n\t\r\vé #|", max_size=40)), max_size=8)
@@ -86,6 +87,58 @@ def test_tokens_equal_the_library(coder):
     assert ids[-1] == 9 and at.tolist() == [0, 2, 3]
 
 
+def library_ids(coder, text):
+    return coder.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once_whatever_mark_follows():
+    coder = TokenCoder(vocabulary_path())
+    texts = ["Un été, un été. Un été!\n", "un été;"]
+    ids, at = coder.encode(column(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [library_ids(coder, t) for t in texts]
+    assert set(coder.known) == {x.encode() for x in ("Un", " un", " Un", "un", " été", ",", ".", "!\n", ";")}
+    seen, learn = [], coder._learn
+    coder._learn = lambda parts: (seen.extend(parts.to_pylist()), learn(parts))
+    coder.encode(column(["Un été!\n", "été? un été."]))
+    assert sorted(seen) == sorted(["été".encode(), b"?"])
+
+
+def test_letters_beyond_ascii_by_their_bytes(coder):
+    texts = [x for k in range(0x80, 0x600) for x in (f"x{chr(k)}!", f" {chr(k)}", f"x{chr(k)}y .{chr(k)}-")]
+    ids, at = coder.encode(column(texts))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == library_ids(coder, text)
+    for k in [*range(0xC0, 0x180), *range(0x400, 0x480)]:
+        assert letter_bytes(np.frombuffer(chr(k).encode(), np.uint8)).all() == unicodedata.category(chr(k)).startswith("L")
+
+
+PIECES = st.sampled_from(["don", "'t", "'", "''s", "'re", "é", "×", "ÿ", "Ж", "ё", "e\u0301", "!", ".\n", ",", " ", "\n", "7", "<|endoftext|>", "<|", "endoftext", "|>", "日"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=10).map("".join), min_size=1, max_size=12))
+def test_cuts_at_marks_change_no_ids(coder, texts):
+    ids, at = coder.encode(column([*texts, None, "a<|endoftext|>b"]))
+    for k, text in enumerate([*texts, "", "a<|endoftext|>b"]):
+        assert ids[at[k] : at[k + 1]].tolist() == library_ids(coder, text)
+    assert len(coder.known) <= 200
+
+
+def test_long_parts_are_not_kept():
+    coder = TokenCoder(vocabulary_path(), keep=4)
+    for text in ("ab" * 5000 + " a a", " a b c", " d e f a"):
+        ids, _ = coder.encode(column([text]))
+        assert ids.tolist() == library_ids(coder, text)
+    assert b" a" in coder.known and max(map(len, coder.known)) < 100 and len(coder.known) == len(coder.codes) == len(coder.uses) <= 4
+
+
+def test_batches_are_put_together_in_order():
+    batches = [pa.RecordBatch.from_pydict({"n": [3 * k, 3 * k + 1, 3 * k + 2], "text": ["a" * k, None, "b" * 40]}) for k in range(50)]
+    parts = list(gathered(iter([*batches[:20], batches[0].slice(0, 0), *batches[20:]]), "text", 1000))
+    assert sum((p.column("n").to_pylist() for p in parts), []) == list(range(150)) and 5 < len(parts) < 20
+    assert list(gathered(iter([]), "text", 1000)) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 1200), st.sampled_from([1, 2, 300, 50_000, 2**32]), st.integers(0, 2**31), st.booleans())
 def test_segment_round_trip(n, top, seed, outlier):
