@@ -26,7 +26,7 @@ from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, St
 
 from creditloom.llm.tables import small_batches, stored
 from creditloom.llm.tokens import TEXT_BYTES, shared_coder, vocabulary_path
-from creditloom.llm.words import slices
+from creditloom.llm.words import gathered
 
 SHARED = 1 << 62  # sequences that pieces of several tasks fill
 LAST = SHARED + (1 << 61)
@@ -83,19 +83,18 @@ def cut_documents(docs: DataFrame, capacity: int, short: int, vocabulary: str, e
             arrays = [pa.array(columns[0], id_type), *[pa.array(c, f.type) for c, f in zip(columns[1:], kind, strict=True)]]
             return pa.RecordBatch.from_arrays(arrays, ["doc_id", *kind.names])
 
-        for batch in batches:
-            id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text", TEXT_BYTES):
-                ids, at = coder.encode_ending(part.column("text"), end)
-                data, rows = ids.astype("<u4").tobytes(), []
-                for doc, first, last in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    start = first
-                    for length in cut_lengths(last - first, capacity, short):
-                        piece = (doc, start - first, length, last - first, data[4 * start : 4 * (start + length)])
-                        rows += filler.put(length, piece)
-                        start += length
-                if rows:
-                    yield frame(rows)
+        for part in gathered(batches, "text", TEXT_BYTES):
+            id_type = part.schema.field("doc_id").type
+            ids, at = coder.encode_ending(part.column("text"), end)
+            data, rows = ids.astype("<u4").tobytes(), []
+            for doc, first, last in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                start = first
+                for length in cut_lengths(last - first, capacity, short):
+                    piece = (doc, start - first, length, last - first, data[4 * start : 4 * (start + length)])
+                    rows += filler.put(length, piece)
+                    start += length
+            if rows:
+                yield frame(rows)
         if filler.open:
             yield frame(filler.rest())
 

@@ -208,6 +208,16 @@ def test_packing_leaves_little_padding(spark, sf_dir, tokenizer):
     assert check_pieces(pack(docs).collect(), expected_ids(rows, tokenizer, 1)) < 0.01
 
 
+def test_packing_and_token_files_of_many_batches(spark, tokenizer):
+    rows = [(k, " ".join(f"Wört{k % 7}, don't-{k}!" for _ in range(k % 40)) if k % 9 else None) for k in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert check_pieces(pack(docs).collect(), expected_ids(rows, tokenizer, 1)) < 0.02
+    path = scratch_dir(spark, "files")
+    write_token_files(docs, path)
+    got = {r.doc_id: [np.frombuffer(r.ids, "<u4").tolist()] for r in read_token_files(spark, path).collect()}
+    assert got == expected_ids(rows, tokenizer, 0)
+
+
 def test_token_files_of_odd_rows(spark, odd_docs, odd_rows, no_docs, tokenizer):
     path = scratch_dir(spark, "files")
     write_token_files(odd_docs, path, segment_ids=500)
