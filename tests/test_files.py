@@ -1,6 +1,7 @@
 """Files at scale: headers in one job, filters that reach the reader, one pass for both outcomes, versions."""
 
 import gzip
+import os
 import random
 import re
 
@@ -8,6 +9,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from creditloom.catalog import adapter
 from creditloom.plans import cleaning
 from creditloom.plans.views import create_stored_views, survey_sql
 from creditloom.settings import Settings
@@ -212,3 +214,30 @@ def test_a_file_is_dated_once(spark, tmp_path):
     days = frame.groupBy(scans.SNAPSHOT).count().orderBy(scans.SNAPSHOT)
     assert [(str(d), n) for d, n in values(days)] == [("2025-02-01", 2), ("2025-03-01", 2), ("2025-04-01", 1), ("2025-05-01", 1)]
     assert "BroadcastHashJoin" in plan_of(days)
+
+
+def test_rows_are_written_where_they_lie(spark, tmp_path):
+    rows = spark.range(40, numPartitions=4).selectExpr("id", "id % 2 AS half")
+    for gather in (True, False):
+        sinks.write_layer(rows, str(tmp_path / str(gather)), partition_by="half", gather=gather)
+        assert sorted(values(scans.read_layer(spark, str(tmp_path / str(gather))))) == [(k, k % 2) for k in range(40)]
+    files = {gather: [f for _, _, names in os.walk(tmp_path / gather) for f in names if f.endswith(".parquet")] for gather in ("True", "False")}
+    assert len(files["True"]) == 2 and len(files["False"]) == 8
+
+
+def test_compressed_exports_hold_the_same_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapter, "COMPRESSED_ROWS", 3)
+    rows = spark.range(20, numPartitions=2).selectExpr(
+        "string(id) AS LOAN_ID", "concat('say \"', id, '\", twice') AS NOTE", "concat('Credit Data - 3', id % 2, '-12-2001.csv') AS file"
+    )
+    for name, compressed in (("plain", False), ("short", True)):
+        adapter.export_files(rows, "file", str(tmp_path / name), compressed)
+    s = Settings()
+
+    def read(name, glob):
+        (frame,) = scans.scan_snapshots(spark, str(tmp_path / name), glob, r"Credit Data - (\d{2}-\d{2}-\d{4})", s.snapshot_format)
+        return sorted(values(frame.select("LOAN_ID", "NOTE", F.col(scans.SNAPSHOT).cast("string"))))
+
+    assert read("plain", "*.csv") == read("short", "*.csv.gz") and len(read("short", "*.csv.gz")) == 20
+    shorts = [n for n in os.listdir(tmp_path / "short") if not n.startswith((".", "_"))]
+    assert len(shorts) == 8 and all(n.endswith(".csv.gz") for n in shorts)

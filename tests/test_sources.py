@@ -1,5 +1,6 @@
 import os
 import datetime as dt
+import time
 
 import pytest
 from conftest import values
@@ -217,6 +218,27 @@ def inputs(tmp_path, credit_dir):
     return Inputs(str(credit_dir), *[str(tmp_path / n) for n in ("sales", "gender", "dob", "income", "nps")])
 
 
+def test_a_run_leaves_no_shuffle_files_and_no_counts(spark, inputs, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(k).getName() for k in range(files.size())) if name.startswith("shuffle_")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled()
+    was = spark.conf.get(key, None)
+    run = Run(spark, inputs, str(tmp_path / "out"), dt.date(2025, 4, 30))
+    run_pipeline(run, only=["profile", "clean"])
+    until = time.monotonic() + 10  # files are deleted in the background
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(key, None) == was
+    assert sorted(os.listdir(tmp_path / "out")) == ["audit", "cleaned", "outputs", "profiles", "staging"]
+    kept = values(run.layer("staging/sales"), "loan_id", "cash_price")
+    assert sorted(kept) == [("L1", 10.0), ("L2", 11.0)] and values(run.layer("quarantine/sales"), "loan_id", "cash_price") == [("L2", 10.0)]
+
+
 def test_whole_run(spark, inputs, tmp_path):
     run = Run(spark, inputs, str(tmp_path / "out"), dt.date(2025, 4, 30))
     assert run_pipeline(run) == ["profile", "clean", "features", "warehouse", "quality", "analysis"]
